@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
 from .decontamination import decontaminate
+from .token_files import read_tokens, token_folder, write_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +26,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The public tokenizer's file; its folder is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op1_token_files")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_folder(spark)
+    shards = write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary())
+    return read_tokens(shards, folder, with_ids=False).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return langid.predict(docs.select("doc_id", "text"), langid.fit(docs)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
