@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def blocks(df: DataFrame, least: int = 1) -> int:
-    """How many blocks: as many as shuffle partitions."""
-    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+MOST_BLOCKS = 4096
+
+
+def blocks(df: DataFrame) -> int:
+    """How many blocks: as many as shuffle partitions, and no more than an expression can tell apart."""
+    return max(1, min(MOST_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def bounds(df: DataFrame, key: str, n: int) -> list:

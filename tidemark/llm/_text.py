@@ -145,3 +145,23 @@ def windows(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     rows = w.rows
     k = k[rows[k] == rows[k + n - 1]] if len(k) else k
     return k, mix((sums[k + n] - sums[k]) * down[k] + np.uint64(n))
+
+
+def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every distinct run of n words, sorted by both; a row of fewer words, but not none, has one run of all."""
+    counts = np.diff(w.first)
+    rows, hashes = [], []
+    for m in sorted(set(np.minimum(counts, n).tolist()) - {0}):
+        k, h = windows(w, m)
+        r = w.rows[k]
+        keep = np.minimum(counts[r], n) == m
+        rows.append(r[keep])
+        hashes.append(h[keep])
+    if not rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    row, value = np.concatenate(rows), np.concatenate(hashes)
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+    return row[new], value[new]

@@ -18,3 +18,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover USING (u) LEFT JOIN its USING (u)
 """
+
+ORACLES["op4_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i, sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM s0),
+s2 AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][i % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s1),
+s3 AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS before, sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM s2),
+s4 AS (SELECT *, cap <= w * (budget - before) / rest AS is_full FROM s3),
+s5 AS (SELECT *, sum(CASE WHEN is_full THEN cap ELSE 0.0::DOUBLE END) OVER () AS used, sum(CASE WHEN is_full THEN 0.0::DOUBLE ELSE w END) OVER () AS free FROM s4),
+s6 AS (SELECT source, source_size, CASE WHEN is_full THEN cap ELSE w * (budget - used) / free END AS target FROM s5),
+s AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS rounds FROM s6),
+g AS (SELECT source, h, sum(size) AS n FROM d GROUP BY source, h),
+c AS (SELECT source, h, n, sum(n) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS base FROM g),
+x AS (SELECT c.source, c.h, c.base + c.n / 2.0::DOUBLE <= s.target - s.rounds * s.source_size AS more FROM c JOIN s ON c.source IS NOT DISTINCT FROM s.source)
+SELECT d.doc_id, d.size, s.source_size, s.target, CAST(d.size * (s.rounds + CASE WHEN x.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
+"""
+
+BASE32 = "array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(x, CAST(g * 5 + 1 AS INTEGER), 5) AS BIGINT) >> b) & 31 AS INTEGER) + 1, 1)), '')), '')"
+
+ORACLES["op10_warc"] = f"""
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first_id FROM p)
+SELECT page_id, payload_bytes, {BASE32} AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
+"""

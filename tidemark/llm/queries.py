@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid
+from ._shared import scratch
 from .decontamination import decontaminate
-from .token_files import read_tokens, token_folder, write_tokens
+from .fingerprints import edited_fingerprints
+from .jaccard_join import jaccard_join
+from .mixing import mix
+from .token_files import read_tokens, write_tokens
+from .warc import read_packages, write_packages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,11 +40,26 @@ def vocabulary() -> str:
 
 @query("op1_token_files")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = token_folder(spark)
+    folder = scratch(spark, "tokens")
     shards = write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary())
     return read_tokens(shards, folder, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "n_links", "copy_of")
+
+
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -53,3 +73,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
     return judged.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
+
+
+@query("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    files = write_packages(table(spark, sf_dir, "pages"), folder)
+    read = read_packages(files, folder, with_payload=False)
+    return read.select(F.col("page").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").try_cast("long").alias("refers_to"))

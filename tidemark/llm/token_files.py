@@ -21,11 +21,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._ranges import block_of, blocks, bounds
-from ._shared import bounded_batches, filesystem, scratch
+from ._shared import bounded_batches, filesystem
 from ._text import mix, powers, ragged, running, seeds
 
 FRAME_TOKENS = 1 << 15
@@ -350,7 +350,3 @@ def read_tokens(shards: DataFrame, folder: str, id_type: str = "long", with_ids:
                         yield pa.RecordBatch.from_pydict(cols)
 
     return shards.repartitionById(n, F.col("shard") % n).mapInArrow(read, schema)
-
-
-def token_folder(spark: SparkSession) -> str:
-    return scratch(spark, "tokens")
