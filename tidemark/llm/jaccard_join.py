@@ -36,8 +36,9 @@ def least_matches(threshold: float, tolerance: float) -> list[int]:
     """For every number of compared values, the fewest matches with which the similarity may still reach the threshold.
 
     With an even prior, m matches of k make the similarity Beta(m + 1, k - m + 1); it is at least t with the probability
-    that k + 1 draws of chance t succeed m times at most.
+    that k + 1 draws of chance t succeed m times at most. The tolerance is shared by all the steps of a comparison.
     """
+    tolerance /= HASHES // STEP
     out = []
     for k in range(HASHES + 1):
         tail, m = 0.0, -1
