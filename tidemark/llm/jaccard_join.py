@@ -309,3 +309,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = lookup(rows.select("mark", "id", "digest"), table, "digest", "copies", max(1, total))
     n_links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
     return out.select("mark", "id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"), n_links.cast("long").alias("n_links"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of every group that links connect: the one with the smallest id (of several with it, or without any, the one with the smallest mark).
+
+    Rows without links stay, and so do null and empty texts; of rows that repeat another whole one stays, if they have words.
+    """
+    found = written(jaccard_join(docs, id_col, text_col, **options), "jaccard")
+    linked = found.filter("n_links > 0")
+    keeper = linked.groupBy("class_id").agg(F.min_by("mark", F.struct(F.col("id").isNull(), F.col("id"), F.col("mark"))).alias("keeper"))
+    unnamed = linked.filter("class_id IS NULL").count()
+    keeper = written(keeper.filter("class_id IS NOT NULL"), "jaccard")
+    gone = linked.join(keeper.withColumnRenamed("keeper", "mark").select("mark"), "mark", "left_anti").select("mark").distinct()
+    if unnamed:  # groups of null ids only: their marks are hashes of texts, and one of equal marks stays
+        gone = gone.join(linked.filter("class_id IS NULL").select("mark").distinct(), "mark", "left_anti")
+    gone = written(gone, "jaccard")
+    twice = written(linked.groupBy("mark").count().filter("count > 1").select("mark"), "jaccard")
+    mark = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
+    name = "mark_of_row"
+    kept = docs.withColumn(name, mark).join(small(gone.withColumnRenamed("mark", name)), name, "left_anti")
+    if twice.isEmpty():
+        return kept.select(docs.columns)
+    repeated = small(twice.withColumnRenamed("mark", name))
+    once = kept.join(repeated, name, "left_semi").dropDuplicates([name])
+    return kept.join(repeated, name, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))

@@ -70,8 +70,8 @@ def thresholds(marks: DataFrame, plan: DataFrame) -> DataFrame:
     return written(plan.alias("p").join(edges.alias("e"), F.expr("p.source <=> e.source"), "left").select("p.source", "source_size", "target", "rounds", "edge", "edge_in"), "mixing")
 
 
-def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Every document's id, source, columns ``keep``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size).
+def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, keep: tuple[str, ...] = (), prefix: bool = False) -> DataFrame:
+    """Every document's id, source, columns ``keep`` (their names led by ``keep_`` if ``prefix``), ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (copies times size).
 
     ``size`` is the number of words unless given. A null id hashes as ''; documents with equal ids are taken together.
     Null is a source of its own. Null and empty texts have size 0, and a copy each if they lie below the threshold; a source of size 0 has target 0.
@@ -91,4 +91,10 @@ def mix(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", tex
     below = (F.col("hash") < F.col("edge")) | ((F.col("hash") == F.col("edge")) & F.col("edge_in"))
     copies = F.col("rounds") + F.coalesce(below, F.lit(False)).cast("long")
     out = joined.withColumn("copies", copies)
-    return out.select(F.col("m.id").alias(id_col), F.col("m.source").alias(source_col), *[F.col(f"keep_{c}").alias(c) for c in keep], "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select(F.col("m.id").alias(id_col), F.col("m.source").alias(source_col), *[F.col(f"keep_{c}").alias(f"keep_{c}" if prefix else c) for c in keep], "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
+    out = mix(docs, id_col=id_col, source_col=source_col, keep=tuple(docs.columns), prefix=True, **options)
+    return out.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])

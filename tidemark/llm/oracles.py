@@ -44,3 +44,19 @@ f AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first_id FROM p)
 SELECT page_id, payload_bytes, {BASE32} AS payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
 CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
 """
+
+# The pages state no canonical link and no redirect; classes of aliases are tested against brute force.
+ORACLES["op2_url_filters"] = r"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS x FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(x, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(regexp_replace(x, '^[^/?#]*', ''), '^[^?#]*') AS path FROM u),
+rules(verdict, rhost, rpath) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+fit AS (SELECT DISTINCT host, path, rhost || rpath AS rule, verdict FROM (SELECT DISTINCT host, path FROM h), rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)),
+best AS (SELECT host, path, rule, verdict FROM fit QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, rule) = 1)
+SELECT page_id, h.host, h.path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN best ON h.host = best.host AND h.path = best.path
+"""
+
+# The conversations hold no tool calls; those are tested against brute force.
+ORACLES["op7_chat"] = r"""
+SELECT conv_id, turn AS at, CAST(0 AS BIGINT) AS level, turn, CAST(-1 AS BIGINT) AS seq, 'message' AS kind, CAST(NULL AS VARCHAR) AS call_id, 'ok' AS status, '' AS errors,
+'{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS json FROM conversations
+"""

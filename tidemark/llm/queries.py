@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from . import langid
 from ._shared import scratch
+from .chat import linked
 from .decontamination import decontaminate
 from .fingerprints import edited_fingerprints
 from .jaccard_join import jaccard_join
+from .licenses import license_scan
 from .mixing import mix
 from .token_files import read_tokens, write_tokens
+from .url_filters import Rule, url_filter
 from .warc import read_packages, write_packages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +48,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(shards, folder, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+RULES = [Rule("block", "com", "/en/"), Rule("allow", "example.com", "/en/7"), Rule("allow", "net", "/de/"), Rule("block", "example.net", "/de/8"), Rule("block", "org", "/es/")]
+
+
+@query("op2_url_filters")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), RULES)
+
+
 @query("op3_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", "n_links", "copy_of")
@@ -60,6 +71,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op6_licenses")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "block", "license", "nearest", "start", "end", "reduction", F.array_join("differences", " ").alias("differences"))
+
+
+TOOLS = {
+    "search": {"type": "object", "required": ["query"], "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 100}}, "additionalProperties": False},
+    "calculate": {"type": "object", "required": ["expression"], "properties": {"expression": {"type": "string"}, "digits": {"type": "integer", "minimum": 0}}, "additionalProperties": False},
+}
+
+
+@query("op7_chat")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = linked(table(spark, sf_dir, "conversations"), TOOLS)
+    return units.withColumn("errors", F.array_join("errors", "; "))
+
+
 @query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
