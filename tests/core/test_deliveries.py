@@ -1,0 +1,177 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from tidemark.operators import dedup, rules
+from tidemark.plans import jobs
+from tidemark.sources import header_text, lake, sinks
+from tidemark.streaming.rebuild import watch
+
+HEAD = "Scheme Code;NAV Name;Plan;Option;ISIN Div Payout/ISIN Growth;ISIN Div Reinvestment;Net Asset Value;Date"
+FIRST = f"""{HEAD}
+
+Open Ended Schemes ( Equity Scheme - Large Cap Fund )
+
+First  Example   House
+
+201;Example Large Cap - Direct Plan - Growth;;;IN0001;-;65.1000;01-Sep-2026
+201;Example Large Cap - Direct Plan - Growth;;;IN0001;-;65.2000;02-Sep-2026
+202;Example Feeder - Growth;;;IN0002;IN0003;N.A.;01-Sep-2026
+{HEAD}
+Second Example House
+203;Second Fund - Regular Plan - Growth;;;IN0004;;20.5;01-Sep-2026
+204;Second Fund;;;IN0005;;21.5
+204;Second Fund -  IDCW;;;IN0005;;21.5;02-Sep-2026
+Interval Schemes(Children’s Fund - Childrens’ Fund)
+Third House
+205;Third Fund;;;-;-;11;01-Sep-2026
+206;Third Negative;;;;;-1.0000;01-Sep-2026
+207;Third Date;;;;;12.5;31-Feb-2026
+208;Third Zero;;;;;0.0000;02-Sep-2026"""
+SECOND = f"""{HEAD}
+Open Ended Schemes ( Equity Scheme - Large Cap Fund )
+First Example House
+201;Example Large Cap - Direct Plan - Growth;;;IN0001;-;65.4900;02-Sep-2026
+201;Example Large Cap - Direct Plan - Growth;;;IN0001;-;66.0000;03-Sep-2026
+Second Example House
+203;Second Fund - Regular Plan - Growth;;;IN0004;;20.75;03-Sep-2026
+204;Second Fund -  IDCW;;;IN0005;;21.5;02-Sep-2026
+203;Second Fund - Regular Plan - Growth;;;IN0004;;21;05-Sep-2026"""
+WINDOWS = [((date(2026, 9, 1), date(2026, 9, 2)), FIRST), ((date(2026, 9, 2), date(2026, 9, 3)), SECOND)]
+
+
+@pytest.fixture
+def raw(spark, tmp_path):
+    root = f"file://{tmp_path}/raw"
+    bodies = dict(WINDOWS)
+    paths = lake.land(spark, root, lambda s, e: bodies[s, e].encode(), list(bodies), header_text.HEADER, sleep=lambda _: None)
+    return root, paths
+
+
+def parsed(spark, text):
+    rows = header_text.parse(spark.createDataFrame([("f", text)], "source_file string, text string"))
+    return {r.line_no: r for r in rows.collect()}
+
+
+def test_rows_inherit_the_lines_above(spark):
+    rows = parsed(spark, FIRST)
+    assert len(rows) == 10 and rows[7].fund_house == "First Example House" and rows[7].category == "Equity Scheme - Large Cap Fund"
+    assert rows[12].fund_house == "Second Example House" and rows[12].scheme_type == "Open Ended Schemes"
+    assert rows[17].category == "Children’s Fund - Childrens’ Fund" and rows[17].fund_house == "Third House" and rows[17].isin_growth is None
+    assert rows[13].parse_error == "expected 8 fields, got 7" and rows[13].scheme_name == "204;Second Fund;;;IN0005;;21.5" and rows[13].nav == ""
+    assert rows[14].scheme_name == "Second Fund - IDCW"
+
+
+def test_a_section_hides_the_house_above(spark):
+    rows = parsed(spark, "1;a;;;;;1;d\nHouse\n2;b;;;;;1;d\nX Schemes ( C )\n3;c;;;;;1;d")
+    assert (rows[1].scheme_type, rows[1].fund_house) == (None, None) and rows[3].fund_house == "House" and (rows[5].category, rows[5].fund_house) == ("C", None)
+
+
+@pytest.mark.parametrize("mark", ["\r\n", "\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", " "])
+def test_line_marks_and_blanks_are_unicode(spark, mark):
+    text = mark.join([" House Name ", "", "1; a  b ;;; - ; ;1;d"])
+    assert len(text.splitlines()) == 3
+    (row,) = parsed(spark, text).values()
+    assert (row.line_no, row.fund_house, row.scheme_name, row.isin_growth, row.isin_reinvest) == (3, "House Name", "a b", None, None)
+
+
+def test_daily_build(spark, raw, tmp_path):
+    _, paths = raw
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    stats = jobs.build_daily(spark, paths, tables, most_unexpected=0.5)
+    reasons = dict.fromkeys(["non_numeric_nav", "malformed_line", "negative_nav", "bad_date", "zero_nav", "date_outside_requested_window"], 1)
+    assert {k: stats[k] for k in ("input_rows", "silver_rows", "duplicates_dropped", "conflicting_duplicates", "quarantined_rows")} == {"input_rows": 15, "silver_rows": 7, "duplicates_dropped": 2, "conflicting_duplicates": 1, "quarantined_rows": 6}
+    assert stats["quarantined_by_reason"] == reasons and stats["unexpected_quarantine_ratio"] == round(5 / 15, 6)
+    daily = spark.read.parquet(tables.daily)
+    assert dict(daily.dtypes)["nav"] == "decimal(20,6)"
+    newest = daily.filter("scheme_code = 201 AND nav_date = '2026-09-02'").collect()
+    assert [str(r.nav) for r in newest] == ["65.490000"]
+    assert {r.quarantine_reason for r in spark.read.parquet(tables.quarantine).collect()} == set(reasons)
+
+
+def test_the_gate_stops_the_daily_table_but_not_the_quarantine(spark, raw, tmp_path):
+    _, paths = raw
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    with pytest.raises(rules.GateError):
+        jobs.build_daily(spark, paths, tables)
+    assert spark.read.parquet(tables.quarantine).count() == 6
+    assert not (tmp_path / "lake" / "daily").exists()
+
+
+def test_a_clean_rebuild_leaves_no_stale_quarantine(spark, raw, tmp_path):
+    root, paths = raw
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    jobs.build_daily(spark, paths, tables, 0.5)
+    lake.put_bytes(spark, root, lake.raw_key(*WINDOWS[0][0]), SECOND.replace("05-Sep", "02-Sep").replace("03-Sep", "01-Sep").encode())
+    lake.put_bytes(spark, root, lake.raw_key(*WINDOWS[1][0]), SECOND.replace("05-Sep", "02-Sep").encode())
+    jobs.build_daily(spark, paths, tables)
+    assert not list((tmp_path / "lake" / "quarantine").glob("period=*"))
+
+
+def test_rules_in_order(spark):
+    cases = [("1", "5", "01-Sep-2026", None, None), ("x", "", "", "bad", "malformed_line"), ("12.5", "5", "01-Sep-2026", None, "bad_scheme_code"), ("1", "1,210.5", "bad", None, "non_numeric_nav"), ("1", "0", "bad", None, "zero_nav"), ("1", "-3", "bad", None, "negative_nav"), ("1", "5", "1-Sep-2026", None, "bad_date"), ("1", "5", "31-Aug-2026", None, "date_outside_requested_window"), (" 12 ", "1e3", "01-SEP-2026", None, None)]
+    rows = spark.createDataFrame([("p_20260901_20260930.txt", c, n, d, e, k) for k, (c, n, d, e, _) in enumerate(cases)], "source_file string, scheme_code string, nav string, nav_date string, parse_error string, line_no int")
+    got = rules.tagged(rules.typed(rows), rules.value_rules()).orderBy("line_no").collect()
+    assert [r.quarantine_reason for r in got] == [c[4] for c in cases]
+    free = rules.tagged(rules.typed(rows.withColumn("source_file", F.lit("x.txt"))), rules.value_rules()).orderBy("line_no").collect()
+    assert free[7].quarantine_reason is None
+
+
+def test_ratio_and_freshness_gates(spark):
+    def ratio(zero, bad, good):
+        rows = [("zero_nav",)] * zero + [("bad_date",)] * bad + [(None,)] * good
+        return rules.unexpected_ratio(spark.createDataFrame(rows, "quarantine_reason string"), rules.value_rules()).first().ratio
+
+    assert ratio(0, 10, 990) == 0.01 and ratio(50, 5, 945) == 0.005 and ratio(0, 0, 0) == 0.0
+    assert rules.ratio_gate(0.02) == 0.02
+    with pytest.raises(rules.GateError):
+        rules.ratio_gate(0.03)
+    rules.freshness_gate(date(2026, 9, 4), date(2026, 9, 7))
+    rules.freshness_gate(date(2026, 9, 4), date(2026, 9, 9))
+    for newest in (None, date(2026, 8, 30)):
+        with pytest.raises(rules.GateError):
+            rules.freshness_gate(newest, date(2026, 9, 9))
+
+
+def test_fetch_tries_again_and_gives_up():
+    tries, pauses = [], []
+
+    def get(s, e):
+        tries.append(1)
+        return b"<html>" if len(tries) < 3 else b"  Scheme Code;x"
+
+    assert lake.fetch(get, *WINDOWS[0][0], header_text.HEADER, sleep=pauses.append) == b"  Scheme Code;x"
+    assert pauses == [5.0, 10.0]
+    with pytest.raises(ValueError, match="header"):
+        lake.fetch(lambda s, e: b"<html>", *WINDOWS[0][0], header_text.HEADER, sleep=pauses.append)
+
+
+def test_paths_and_line_counts(spark, raw):
+    root, paths = raw
+    assert lake.period_paths(spark, root, ["2026-09", "2026-09", "2026-10"]) == paths
+    with pytest.raises(FileNotFoundError):
+        lake.period_paths(spark, root, ["2025-01"])
+    files = header_text.read_files(spark, paths)
+    assert [r["rows"] for r in header_text.data_lines(files).orderBy("source_file").collect()] == [11, 5]
+    assert all(r.ok for r in files.select(header_text.is_delivery(F.col("text")).alias("ok")).collect())
+
+
+def test_conflicts_and_newest(spark):
+    df = spark.createDataFrame([(1, "a", 1.0, 5), (1, "a", 2.0, 7), (1, "b", 3.0, 1), (1, "b", 3.0, 2)], "k int, d string, v double, t int")
+    assert [tuple(r) for r in dedup.conflicting_keys(df, ["k", "d"], "v").collect()] == [(1, "a", 2)]
+    assert sorted(r.v for r in dedup.keep_newest(df, ["k", "d"], [F.desc("t")]).collect()) == [2.0, 3.0]
+
+
+def test_stream_rebuilds_touched_months(spark, raw, tmp_path):
+    root, _ = raw
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    stream = watch(spark, root, tables, f"file://{tmp_path}/state", 0.5)
+    stream.awaitTermination(120)
+    assert stream.exception() is None
+    assert spark.read.parquet(tables.daily).count() == 7
+
+
+def test_upsert_keeps_vanished_keys(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert sorted(tuple(r) for r in sinks.upserted(old, new, "k").collect()) == [(1, "a"), (2, "c"), (3, "d")]
