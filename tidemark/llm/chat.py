@@ -163,7 +163,7 @@ def linked(turns: DataFrame, tools: dict[str, dict], conv_col: str = "conv_id",
     first = calls.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("turn", "seq")).alias("first"), F.min_by("after", F.struct("turn", "seq")).alias("after"), F.count("*").alias("n_calls"))
     joined = written(first.join(answers, "key", "full").withColumns({"n_calls": F.coalesce("n_calls", F.lit(0)), "n_results": F.coalesce("n_results", F.lit(0))}), "chat")
     placed = _ordered(written(joined.filter("first IS NOT NULL").select("key", "first.turn", F.col("answer.turn").alias("answer_turn"), "after"), "chat"))
-    known = joined.join(placed, "key", "left").withColumns({"rows": F.col("n_calls") + F.col("n_results"), "known": F.lit(True)})
+    known = joined.join(placed, "key", "left").withColumn("rows", F.col("n_calls") + F.col("n_results")).drop("after")
     known = written(known, "chat")
     total = max(1, calls.count() + results.count())
     checks = [F.when(~F.col("name").isin(list(tools)) | F.col("name").isNull(), F.concat(F.lit("unknown tool "), F.coalesce("name", F.lit("null")))), F.when(F.col("arguments").isNull(), F.lit("arguments: no JSON"))]

@@ -1,9 +1,9 @@
 """Licence scans by conditional compression.
 
 Candidate blocks are stretches of words that licence wordings use, around a word such as *license* or *permission*. A block is compressed by itself
-and with every wording as a raw zstandard dictionary; wordings are ranked by the bytes that they save. The best
-are then held against the block word for word: a one-line reference must be there exactly, a whole text may differ in a
-tenth of its words, and the differences are reported. What lies before and behind a confirmed wording is scanned again.
+and with every wording as a raw zstandard dictionary; wordings are ranked by the bytes that they save. In
+this order they are held against the block word for word, until one is confirmed: a one-line reference must be there exactly, a whole text may
+differ in a tenth of its words, and the differences are reported. What lies before and behind a confirmed wording is scanned again.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from ._shared import bounded_batches
 from .license_texts import templates
 
 WORD = regex.compile(r"[^\W_]+(?:[.'\-][^\W_]+)*")
-KEYWORD = regex.compile(r"^(sub)?licen[sc]\w*$|^copyright\w*$|^permission\w*$|^permitted$|^warrant\w*$|^redistribut\w*$|^spdx\S*$")
-HINT = r"(?i)licen[sc]|copyright|permission|permitted|warrant|redistribut|spdx"
-GAP, WIDEST, RANKED, SHORT, DIFFERS = 2, 600, 3, 20, 0.1
+KEYWORD = regex.compile(r"^(sub)?licen[sc]\w*$|^copyright\w*$|^permission\w*$|^permitted$|^warrant\w*$|^redistribut\w*$|^spdx\S*$|^cc0?$|^creative$")
+HINT = r"(?i)licen[sc]|copyright|permission|permitted|warrant|redistribut|spdx|creative commons|\bcc[ -]by\b|\bcc0\b"
+GAP, WIDEST, SHORT, DIFFERS = 2, 600, 20, 0.1
 
 
 @dataclass(frozen=True)
@@ -78,7 +78,9 @@ def best(words: tuple[str, ...]) -> tuple[str, str | None, float, int, int, tupl
     ranked = saved(words)
     plain = len(known()[2].compress(" ".join(words).encode()))
     share = round(ranked[0][0] / plain, 6)
-    for gain, _, t in ranked[:RANKED] + [x for x in ranked[RANKED:] if x[0] == ranked[RANKED - 1][0]]:
+    for gain, _, t in ranked:
+        if gain <= 0:
+            break
         low, high, differ = differences(t.words, words)
         if len(differ) <= (0 if len(t.words) < SHORT else DIFFERS * len(t.words)):
             return ranked[0][2].license, t.license, round(gain / plain, 6), low, high, tuple(differ)
@@ -87,8 +89,9 @@ def best(words: tuple[str, ...]) -> tuple[str, str | None, float, int, int, tupl
 
 
 def blocks(text: str) -> Iterator[tuple[tuple[str, ...], list[tuple[int, int]]]]:
-    """Words and character spans of every candidate block, in order."""
+    """Words and character spans of every candidate block, in order; none is shorter than the shortest wording."""
     vocabulary = known()[1]
+    shortest = min(len(t.words) for t in known()[0])
     spans = [m.span() for m in WORD.finditer(text)]
     words = [text[a:b].lower() for a, b in spans]
     done = 0
@@ -105,8 +108,9 @@ def blocks(text: str) -> Iterator[tuple[tuple[str, ...], list[tuple[int, int]]]]
             gap = 0 if words[at] in vocabulary or KEYWORD.match(words[at]) else gap + 1
             high = high if gap else at + 1
             at += 1
-        yield tuple(words[low:high]), spans[low:high]
         done = high
+        if high - low >= shortest:
+            yield tuple(words[low:high]), spans[low:high]
 
 
 def scan(text: str) -> list[tuple[int, int, str | None, str, float, list[str]]]:
@@ -120,6 +124,8 @@ def scan(text: str) -> list[tuple[int, int, str | None, str, float, list[str]]]:
             if not any(KEYWORD.match(w) for w in part):
                 continue
             nearest, name, share, low, high, differ = best(part)
+            if name is None and b - a < len(words):  # what is left beside a confirmed wording
+                continue
             out.append((spans[a + low][0], spans[a + high - 1][1], name, nearest, share, list(differ)))
             if name is not None:
                 todo += [(a, a + low), (a + high, b)]
