@@ -1,16 +1,12 @@
-"""Shared storage of a run: the folder that the cluster names, written tables and files in it."""
+"""Shared storage of a run: the folder that the cluster names, and written tables in it."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_BYTES = 16 << 20
-
 
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own is set once."""
@@ -38,18 +34,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name) + "/t"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Arrow batches of few rows and bytes, so that long texts don't gather in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """Filesystem and path of a folder: a local path or file:, hdfs:, s3:, gs: URI. Executors and driver use it alike."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), os.path.abspath(uri)
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[5:]
-    return pafs.FileSystem.from_uri(uri)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._shared import bounded_batches, written
+from ._arrow import bounded_batches
+from ._shared import written
 from ._text import Words, ragged, running, slices, string_buffers, windows, words
 
 PART_BYTES = 64 << 20

@@ -18,8 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._arrow import bounded_batches
 from ._ranges import block_of, blocks, bounds
-from ._shared import bounded_batches, written
+from ._shared import written
 from ._text import mix, running, seeds, slices, string_buffers, words
 
 CHAIN = 3

@@ -22,8 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._arrow import bounded_batches
 from ._components import components
-from ._shared import bounded_batches, written
+from ._shared import written
 from ._skew import lookup, small
 from ._text import mix, running, seeds, shingles, slices, string_buffers, words
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._shared import bounded_batches
+from ._arrow import bounded_batches
 from ._text import slices, string_buffers
 
 BITS = 16

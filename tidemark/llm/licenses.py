@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import bounded_batches
+from ._arrow import bounded_batches
 from .license_texts import templates
 
 WORD = regex.compile(r"[^\W_]+(?:[.'\-][^\W_]+)*")

@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._arrow import bounded_batches, filesystem
 from ._ranges import block_of, blocks, bounds
-from ._shared import bounded_batches, filesystem
 from ._text import mix, powers, ragged, running, seeds
 
 FRAME_TOKENS = 1 << 15

@@ -24,8 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._arrow import bounded_batches, filesystem
 from ._ranges import blocks
-from ._shared import bounded_batches, filesystem, written
+from ._shared import written
 from ._skew import lookup
 
 ARCHIVE, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
