@@ -56,12 +56,12 @@ def scorecard(metrics: DataFrame, dim: DataFrame, benchmark_code: int | None, ke
     newest = metrics.filter("is_latest")
     latest = newest.join(about, key).filter("category IS NOT NULL")
     bench = newest.filter(F.col(key) == F.lit(benchmark_code)).select(*[F.col(c).alias(f"bench_{c}") for c in ("ret_1y", "cagr_3y", "cagr_5y")])
-    peers = ["category", "plan"]
-    stats = latest.groupBy(*peers).agg(F.count("*").alias("funds_in_category"), median("ret_1y").alias("category_median_ret_1y"), median("cagr_3y").alias("category_median_cagr_3y"))
+    peers = Window.partitionBy("category", "plan")  # one shuffle for counts, medians and ranks
+    stats = {"funds_in_category": F.count("*").over(peers), "category_median_ret_1y": median("ret_1y").over(peers), "category_median_cagr_3y": median("cagr_3y").over(peers)}
+    ranks = {f"rank_{c}": F.rank().over(peers.orderBy(F.desc_nulls_last(c))) for c in ("ret_1y", "cagr_3y", "sharpe_1y")}
     # The benchmark is the latest row of one key: one row, or none.
-    rows = latest.join(stats, peers).join(F.broadcast(bench), F.lit(True), "left")
-    ranks = {f"rank_{c}": F.rank().over(Window.partitionBy(*peers).orderBy(F.desc_nulls_last(c))) for c in ("ret_1y", "cagr_3y", "sharpe_1y")}
-    rows = rows.withColumns({"ret_1y_vs_category": F.col("ret_1y") - F.col("category_median_ret_1y")} | {f"{c}_vs_benchmark": F.col(c) - F.col(f"bench_{c}") for c in ("ret_1y", "cagr_3y", "cagr_5y")} | ranks)
+    rows = latest.withColumns(stats | ranks).join(F.broadcast(bench), F.lit(True), "left")
+    rows = rows.withColumns({"ret_1y_vs_category": F.col("ret_1y") - F.col("category_median_ret_1y")} | {f"{c}_vs_benchmark": F.col(c) - F.col(f"bench_{c}") for c in ("ret_1y", "cagr_3y", "cagr_5y")})
     return rows.select(key, *SCORECARD)
 
 

@@ -21,15 +21,14 @@ def _filesystem(spark: SparkSession, path: str):
 
 
 def put_bytes(spark: SparkSession, root: str, key: str, body: bytes) -> str:
-    """Writes an object in any store that Spark reaches."""
-    path = f"{root.rstrip('/')}/{key}"
-    fs, hpath = _filesystem(spark, path)
+    """Writes an object in any store that Spark reaches; gives its path as the store spells it."""
+    fs, hpath = _filesystem(spark, f"{root.rstrip('/')}/{key}")
     out = fs.create(hpath, True)
     try:
         out.write(body)
     finally:
         out.close()
-    return path
+    return hpath.toString()
 
 
 def period_paths(spark: SparkSession, root: str, periods: list[str]) -> list[str]:
