@@ -37,3 +37,17 @@ def test_deduplicated_odd_rows(spark):
     got = sorted(((r.doc_id, r.text) for r in C.jaccard_join(spark, df, "").collect()), key=str)
     assert got == sorted([(1, rows[0][1]), (2, None), (2, None), (3, ""), (None, "a b c d e f"), (5, "other text")], key=str)
     assert C.jaccard_join(spark, df.limit(0), "").count() == 0
+
+
+def test_clashing_names_and_no_rows(spark, sf_dir):
+    extra = {"score": "n_chars", "n_hit": "n_chars", "rejected": "lang", "mark": "lang", "size": "n_chars", "copies": "lang", "hash": "lang", "own_0": "lang", "id": "n_chars", "digest": "lang"}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wide = docs.select("*", *[docs[old].alias(new) for new, old in extra.items()])
+    for rows in (wide, wide.limit(0)):
+        plain = rows.select(docs.columns)
+        for _, stage in C.STAGES[:-1]:
+            out, want = stage(spark, rows, sf_dir), stage(spark, plain, sf_dir)
+            assert out.columns == wide.columns
+            assert sorted(map(str, out.select(docs.columns).collect())) == sorted(map(str, want.collect()))
+            assert out.filter(" OR ".join(f"NOT ({new} <=> {old})" for new, old in extra.items())).count() == 0
+        assert C.token_files(spark, rows, sf_dir).count() == rows.count()

@@ -34,3 +34,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name) + "/t"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def renamed(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str], list[str]]:
+    """``docs`` under column names that nothing added can clash with; the new names of all columns and of ``columns``."""
+    names = [f"own_{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names, [names[docs.columns.index(c)] for c in columns]

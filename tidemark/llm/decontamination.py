@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._arrow import bounded_batches
-from ._shared import written
+from ._shared import renamed, written
 from ._text import Words, ragged, running, slices, string_buffers, windows, words
 
 PART_BYTES = 64 << 20
@@ -209,27 +209,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without contaminated documents, or (``remove='spans'``) with the hit runs cut out of their texts."""
-    judged = decontaminate(docs, benchmark, text_col=text_col, **options)
+    """``docs``, with all its columns, without contaminated documents, or (``remove='spans'``) with the hit runs cut out of their texts."""
+    work, columns, (text,) = renamed(docs, text_col)
+    judged = decontaminate(work, benchmark, text_col=text, **options)
     if remove == "documents":
-        return judged.filter(~F.col("contaminated")).select(docs.columns)
+        return judged.filter(~F.col("contaminated")).select(columns).toDF(*docs.columns)
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
-    schema, columns = docs.schema, docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, runs = batch.column(text_col).to_pylist(), batch.column("hit_runs").to_pylist()
+            texts, runs = batch.column(text).to_pylist(), batch.column("hit_runs").to_pylist()
             out = []
-            for text, run in zip(texts, runs, strict=True):
+            for t, run in zip(texts, runs, strict=True):
                 if run:
-                    raw, kept, at = text.encode(), [], 0
+                    raw, kept, at = t.encode(), [], 0
                     for a, b in zip(run[2::4], run[3::4], strict=True):
                         kept.append(raw[at:a])
                         at = b
-                    text = b"".join([*kept, raw[at:]]).decode()
-                out.append(text)
-            cols = [pa.array(out, batch.schema.field(text_col).type) if c == text_col else batch.column(c) for c in columns]
+                    t = b"".join([*kept, raw[at:]]).decode()
+                out.append(t)
+            cols = [pa.array(out, batch.schema.field(c).type) if c == text else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(cols, names=columns)
 
-    return judged.drop("contaminated").mapInArrow(cut, schema)
+    return judged.drop("contaminated").mapInArrow(cut, work.schema).toDF(*docs.columns)

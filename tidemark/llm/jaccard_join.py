@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches
 from ._components import components
-from ._shared import written
+from ._shared import renamed, written
 from ._skew import lookup, small
 from ._text import mix, running, seeds, shingles, slices, string_buffers, words
 
@@ -327,11 +327,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         gone = gone.join(linked.filter("class_id IS NULL").select("mark").distinct(), "mark", "left_anti")
     gone = written(gone, "jaccard")
     twice = written(linked.groupBy("mark").count().filter("count > 1").select("mark"), "jaccard")
-    mark = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
-    name = "mark_of_row"
-    kept = docs.withColumn(name, mark).join(small(gone.withColumnRenamed("mark", name)), name, "left_anti")
-    if twice.isEmpty():
-        return kept.select(docs.columns)
-    repeated = small(twice.withColumnRenamed("mark", name))
-    once = kept.join(repeated, name, "left_semi").dropDuplicates([name])
-    return kept.join(repeated, name, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    work, columns, (own_id, own_text) = renamed(docs, id_col, text_col)
+    mark = F.coalesce(F.col(own_id).cast("string"), F.concat(F.lit("~"), F.xxhash64(own_text).cast("string")))
+    kept = work.withColumn("mark", mark).join(small(gone), "mark", "left_anti")
+    if not twice.isEmpty():
+        repeated = small(twice)
+        once = kept.join(repeated, "mark", "left_semi").dropDuplicates(["mark"])
+        kept = kept.join(repeated, "mark", "left_anti").unionByName(once)
+    return kept.select(columns).toDF(*docs.columns)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._arrow import bounded_batches
+from ._shared import renamed
 from ._text import slices, string_buffers
 
 BITS = 16
@@ -179,6 +180,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return out.withColumns({"lang_pred": F.when(lettered, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(lettered, F.col("score")).otherwise(0.0)}).withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.reject))
 
 
+def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs``, with all its columns, without the rows that the model rejects."""
+    work, columns, (text,) = renamed(docs, text_col)
+    return predict(work, model, text).filter("NOT rejected").select(columns).toDF(*docs.columns)
+
+
 def _predictor(model: Model, text_col: str, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     model.table = np.asfortranarray(model.table)
 
