@@ -18,7 +18,7 @@ from tidemark.llm.token_files import read_tokens, write_tokens
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; what the model rejects goes."""
-    return langid.predict(docs, langid.fit(docs)).filter("NOT rejected").select(docs.columns)
+    return langid.recognised(docs, langid.fit(docs))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
