@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches
-from ._ranges import block_of, blocks, bounds
+from ._ranges import blocks, ranges
 from ._shared import written
 from ._text import mix, running, seeds, slices, string_buffers, words
 
@@ -162,22 +162,17 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     bounded_batches(docs.sparkSession)
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    n = blocks(df)
-    cuts = bounds(df, "id", n)
-    df = df.withColumn("block", block_of(F.col("id"), cuts))
-    heads = dict(df.groupBy("block").agg(F.max("id")).collect())
-    filled = sorted(heads)
+    cut = ranges(df, "id", blocks(df))
+    df = df.withColumn("block", cut.block)
+    heads = df.groupBy("block").agg(F.max("id").alias("head")).collect()  # a row for each block
+    filled = sorted(r["block"] for r in heads)
     before = {b: filled[(k + 1) % len(filled)] for k, b in enumerate(filled)}  # the block whose last row b's first row follows
-    if filled:
-        head = F.array(*[F.lit(heads.get(b)).cast("long") for b in range(n)])
-        to = F.array(*[F.lit(before.get(b, 0)) for b in range(n)])
-        leads = F.col("id").eqNullSafe(F.element_at(head, F.col("block") + 1))
-        own = F.struct(F.col("block"), F.lit(False).alias("guest"))
-        guest = F.struct(F.element_at(to, F.col("block") + 1).alias("block"), F.lit(True).alias("guest"))
-        df = df.select("id", "text", F.explode(F.when(leads, F.array(own, guest)).otherwise(F.array(own))).alias("at")).select("id", "text", "at.block", "at.guest")
-    else:
-        df = df.withColumn("guest", F.lit(False))
-    df = df.repartitionById(n, F.col("block")).sortWithinPartitions("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
+    table = df.sparkSession.createDataFrame([(r["block"], r["head"], before[r["block"]]) for r in heads], "block int, head long, before int")
+    own = F.struct(F.col("block"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("before").alias("block"), F.lit(True).alias("guest"))
+    places = F.when(F.col("id").eqNullSafe(F.col("head")), F.array(own, guest)).otherwise(F.array(own))
+    df = df.join(F.broadcast(table), "block").select("id", "text", F.explode(places).alias("at")).select("id", "text", "at.block", "at.guest")
+    df = df.repartitionById(cut.count, F.col("block")).sortWithinPartitions("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int | None, str]] = []

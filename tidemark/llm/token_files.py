@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches, filesystem
-from ._ranges import block_of, blocks, bounds
+from ._ranges import blocks, ranges
 from ._text import mix, powers, ragged, running, seeds
 
 FRAME_TOKENS = 1 << 15
@@ -287,7 +287,7 @@ SHARDS = "shard int, path string, n_docs long, n_tokens long"
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """Encodes every text and writes one shard file for each range of ids; returns the shards in order, with ``start``.
 
-    Documents lie in ascending (id, text) order, null ids first, over shards and within them. Null and empty texts have the end
+    Documents lie in ascending (id, text) order, null ids first, over shards and within them. Ids are numbers. Null and empty texts have the end
     id alone; repeated rows are each written. An empty table gives empty shards. Other columns are ignored.
     A file is named after the task attempt that wrote it and only files of successful attempts are listed, so
     a lost executor or a second attempt does no harm.
@@ -295,9 +295,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     spark = docs.sparkSession
     bounded_batches(spark)
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = blocks(df)
-    cuts = bounds(df, "id", n)
-    df = df.repartitionById(n, block_of(F.col("id"), cuts)).sortWithinPartitions(F.asc_nulls_first("id"), F.asc_nulls_first("text"))
+    cut = ranges(df, "id", blocks(df))
+    df = df.repartitionById(cut.count, cut.block).sortWithinPartitions(F.asc_nulls_first("id"), F.asc_nulls_first("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -331,7 +330,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
 
 def read_tokens(shards: DataFrame, folder: str, id_type: str = "long", with_ids: bool = True) -> DataFrame:
     """Documents of the shards: id, start (ids of all documents before it), n_tokens, ids_crc32, and ids if asked for."""
-    n = blocks(shards)
+    n = shards.count()
     schema = f"id {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,4 +348,4 @@ def read_tokens(shards: DataFrame, folder: str, id_type: str = "long", with_ids:
                             cols["ids"] = pa.array([x.astype(np.int64) for x in ids], pa.list_(pa.int64()))
                         yield pa.RecordBatch.from_pydict(cols)
 
-    return shards.repartitionById(n, F.col("shard") % n).mapInArrow(read, schema)
+    return shards.repartitionById(max(1, n), F.col("shard")).mapInArrow(read, schema)

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches, filesystem
-from ._ranges import blocks
 from ._shared import written
 from ._skew import lookup
 
@@ -254,7 +253,7 @@ def read_packages(files: DataFrame, folder: str, with_payload: bool = True) -> D
                         rows, held = [], 0
             yield as_batch(rows, with_payload)
 
-    return files.repartition(blocks(files)).mapInArrow(read, schema)
+    return files.repartition(max(1, files.count())).mapInArrow(read, schema)
 
 
 def as_batch(rows: list[tuple], with_payload: bool) -> pa.RecordBatch:
