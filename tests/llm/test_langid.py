@@ -68,3 +68,11 @@ def test_subwords_stay_inside_rows():
     together = [set(code[ok].tolist()) for code, ok in L.subwords(np.concatenate(one), offsets)]
     apart = [set().union(*(set(code[ok].tolist()) for code, ok in [L.subwords(x, np.array([0, len(x)]))[n] for x in one])) for n in range(3)]
     assert together == apart
+
+
+def test_long_rows_in_stretches():
+    model = L.train([(t, lang, k % 4 == 0) for k, t, lang in rows(120)])
+    raw = np.frombuffer((" ".join(t for _, t, _ in rows(60, 3)) + " é").encode(), np.uint8)
+    whole = L._score(model, raw, np.array([0, len(raw)]))
+    for limit in (7, 100, 999):
+        assert np.allclose(L._score(model, raw, np.array([0, len(raw)]), limit), whole, atol=1e-12)

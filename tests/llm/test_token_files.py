@@ -99,3 +99,15 @@ def test_frames_are_independent_and_checked():
         T.ShardReader(io.BytesIO(bytes(damaged)), len(damaged))._frame(1)
     with pytest.raises(ValueError, match="seek table"):
         T.ShardReader(io.BytesIO(raw[:-1]), len(raw) - 1)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=40).map("".join), st.integers(1, 8))
+def test_long_texts_in_stretches(text, limit):
+    encoder, before = T.encoder_of(vocabulary()), T.LONG
+    T.LONG = limit
+    try:
+        ids, counts = encoder.encode_long(text, 0)
+    finally:
+        T.LONG = before
+    assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 0] and counts.tolist() == [len(ids)]

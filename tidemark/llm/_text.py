@@ -130,11 +130,18 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     start[heads] = inside[heads]
     end[tails] = inside[tails]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    up, down = powers(len(data) + 1)
-    sums = running(_values()[folded] * up[: len(data)])
     lengths = ends - starts
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + lengths.astype(np.uint64))
-    return Words(offsets, starts, ends, np.searchsorted(starts, offsets), folded[inside], running(lengths), hashes)
+    hashes = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):  # a few megabytes of words at a time, however long a text is
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + SLICE_BYTES, "right")))
+        low, high = starts[at], ends[to - 1]
+        up, down = powers(int(high - low) + 1)
+        sums = running(_values()[folded[low:high]] * up[: high - low])
+        a, b = starts[at:to] - low, ends[at:to] - low
+        hashes[at:to] = (sums[b] - sums[a]) * down[a]
+        at = to
+    return Words(offsets, starts, ends, np.searchsorted(starts, offsets), folded[inside], running(lengths), mix(hashes + lengths.astype(np.uint64)))
 
 
 def windows(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

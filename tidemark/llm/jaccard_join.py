@@ -29,7 +29,7 @@ from ._skew import lookup, small
 from ._text import mix, running, seeds, shingles, slices, string_buffers, words
 
 HASHES, BAND, STEP, BLOCK = 128, 4, 16, 1024
-CLUSTER_SHINGLES = 4 << 20
+CLUSTER_SHINGLES = 1 << 20
 COLUMNS = 4096
 
 
@@ -91,6 +91,16 @@ def sketch(texts: pa.Array, width: int, factors: np.ndarray) -> tuple[np.ndarray
     return n, digests, values, filled
 
 
+def sets_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every text's shingles, a slice of texts at a time."""
+    rows, values = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for a, b in slices(texts):
+        row, value = shingles(words(*string_buffers(texts.slice(a, b - a))), width)
+        rows.append(row + a)
+        values.append(value)
+    return np.concatenate(rows), np.concatenate(values)
+
+
 def set_digests(n: np.ndarray, value: np.ndarray) -> list[bytes | None]:
     """128-bit digests of sets of n values each, None for an empty set."""
     out: list[bytes | None] = [None] * len(n)
@@ -220,7 +230,7 @@ def _verifier(threshold: float, width: int) -> Callable[[Iterator[pa.RecordBatch
     keys = ["cluster_key", "i", "j"]
 
     def of_group(table: pa.Table) -> pa.RecordBatch:
-        row, value = shingles(words(*string_buffers(table["text"])), width)
+        row, value = sets_of(table["text"].combine_chunks(), width)
         n = np.bincount(row, minlength=len(table))
         asked = table["digest"].to_pylist()
         first = {d: r for r, (d, x) in reversed(list(enumerate(zip(asked, set_digests(n, value), strict=True)))) if d == x}

@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._arrow import bounded_batches
 from ._shared import renamed
-from ._text import slices, string_buffers
+from ._text import SLICE_BYTES, slices, string_buffers
 
 BITS = 16
 UNKNOWN = "und"
@@ -152,8 +152,33 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train(sample(docs, id_col, text_col, lang_col, fold != 0, fold == 1, per_lang, stretch))
 
 
-def _score(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Every row's probabilities."""
+def _stretches(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """A long row's bytes, cut at bytes that are blanks for subwords; no subword is lost or made."""
+    at = 0
+    while len(data) - at > limit:
+        blank = np.flatnonzero(_letters()[data[at + limit : at + 2 * limit]] == 32)
+        if not len(blank):
+            break
+        to = at + limit + int(blank[0])
+        yield data[at:to]
+        at = to + 1
+    yield data[at:]
+
+
+def _score(model: Model, data: np.ndarray, offsets: np.ndarray, limit: int = SLICE_BYTES) -> np.ndarray:
+    """Every row's probabilities. Stretches of a long row are summed one after the other."""
+    n, k = len(offsets) - 1, len(model.classes)
+    if n > 1 or offsets[-1] <= limit:
+        total, count = _sums(model, data, offsets)
+    else:
+        total, count = np.zeros((1, k)), np.zeros(1)
+        for part in _stretches(data, limit):
+            t, c = _sums(model, part, np.array([0, len(part)]))
+            total, count = total + t, count + c
+    return _softmax(total / np.maximum(1, count)[:, None])
+
+
+def _sums(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, k = len(offsets) - 1, len(model.classes)
     at = offsets[:-1] + 2 * np.arange(n)
     total, count = np.zeros((n, k)), np.zeros(n)
@@ -161,7 +186,7 @@ def _score(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         count += np.add.reduceat(ok.astype(np.int64), at)
         for c in range(k):
             total[:, c] += np.add.reduceat(model.table[:, c][bucket] * ok, at)
-    return _softmax(total / np.maximum(1, count)[:, None])
+    return total, count
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

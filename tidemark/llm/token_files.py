@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from bisect import bisect_right
@@ -29,6 +30,8 @@ from ._ranges import blocks, ranges
 from ._text import mix, powers, ragged, running, seeds
 
 FRAME_TOKENS = 1 << 15
+LONG = 1 << 20
+SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -268,6 +271,20 @@ class PieceEncoder:
         return out, counts + 1
 
 
+    def encode_long(self, text: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one long text, in stretches that end before a single blank between other characters: there a piece always begins."""
+        if not self.by_piece:
+            return self.encode([text], end_id)
+        out, at = [], 0
+        while at < len(text):
+            cut = SINGLE_BLANK.search(text, min(at + LONG, len(text)))
+            to = cut.start() if cut else len(text)
+            out.append(self.encode([text[at:to]], end_id)[0][:-1])
+            at = to
+        ids = np.append(np.concatenate(out or [np.zeros(0, np.uint32)]), np.uint32(end_id)).astype(np.uint32)
+        return ids, np.array([len(ids)], np.int64)
+
+
 @lru_cache(1)
 def encoder_of(path: str) -> PieceEncoder:
     """One encoder for each worker process."""
@@ -313,10 +330,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
                 at, keys, texts = 0, batch.column("id").to_pylist(), _texts(batch.column("text"))
                 while at < len(texts):
                     to, size = at, 0
-                    while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 20):
+                    while to < len(texts) and (to == at or size + len(texts[to]) <= LONG):
                         size += len(texts[to])
                         to += 1
-                    out.add(keys[at:to], *encoder.encode(texts[at:to], end_id))
+                    long = to == at + 1 and size > LONG
+                    out.add(keys[at:to], *(encoder.encode_long(texts[at], end_id) if long else encoder.encode(texts[at:to], end_id)))
                     at = to
                 n_docs += len(keys)
             out.close(kind)
