@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -61,7 +61,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers and their inverses modulo 2^64, n of each at least."""
-    return _powers(max(21, int(n).bit_length()))
+    return _powers(max(20, int(n).bit_length()))
 
 
 def running(x: np.ndarray) -> np.ndarray:

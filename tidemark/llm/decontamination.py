@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._arrow import bounded_batches
+from ._arrow import bounded_batches, tidy
 from ._shared import renamed, written
 from ._text import Words, ragged, running, slices, string_buffers, windows, words
 
@@ -202,7 +202,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     for part in _parts(benchmark, item_col, item_text_col, part_bytes):
         if done:
             df = written(df, "decontaminate")
-        df = df.mapInArrow(_scan(text_col, build_index(part, n), arrow), schema)
+        df = df.mapInArrow(tidy(_scan(text_col, build_index(part, n), arrow)), schema)
         done += 1
     per_word = round(1 / least_share)
     return df.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * per_word >= F.col("n_words")))
@@ -232,4 +232,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text
             cols = [pa.array(out, batch.schema.field(c).type) if c == text else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(cols, names=columns)
 
-    return judged.drop("contaminated").mapInArrow(cut, work.schema).toDF(*docs.columns)
+    return judged.drop("contaminated").mapInArrow(tidy(cut), work.schema).toDF(*docs.columns)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded_batches
+from ._arrow import bounded_batches, tidy
 from ._ranges import blocks, ranges
 from ._shared import written
 from ._text import mix, running, seeds, slices, string_buffers, words
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([whole.column("id").slice(a, b - a), sets], names=["id", "signatures"])
 
     light = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return light.mapInArrow(run, f"id {light.schema['id'].dataType.simpleString()}, signatures array<long>")
+    return light.mapInArrow(tidy(run), f"id {light.schema['id'].dataType.simpleString()}, signatures array<long>")
 
 
 def near_pairs(prints: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -190,7 +190,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if len(held) > 1:
             yield _compared(held)
 
-    return df.mapInArrow(run, EDITED)
+    return df.mapInArrow(tidy(run), EDITED)
 
 
 def _compared(held: list[tuple[int | None, str]]) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded_batches
+from ._arrow import bounded_batches, tidy
 from ._components import components
 from ._shared import renamed, written
 from ._skew import lookup, small
@@ -70,7 +70,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                     bands[r] = x
                 yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["mark", "id", "n", "digest", "bands"])
 
-    return light.mapInArrow(run, SKETCH.format(light.schema["id"].dataType.simpleString()))
+    return light.mapInArrow(tidy(run), SKETCH.format(light.schema["id"].dataType.simpleString()))
 
 
 def sketch(texts: pa.Array, width: int, factors: np.ndarray) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray]:
@@ -295,7 +295,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = _dealt(met, F.ceil(F.col("size") / BLOCK), "digest")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     met = met.repartition(parts, "band", "word", "i", "j").sortWithinPartitions("band", "word", "i", "j")
-    near = written(met.mapInArrow(_pruner(threshold, least_matches(threshold, tolerance)), "a binary, b binary").distinct(), "jaccard")
+    near = written(met.mapInArrow(tidy(_pruner(threshold, least_matches(threshold, tolerance))), "a binary, b binary").distinct(), "jaccard")
     clusters = written(components(near), "jaccard")
     sizes = written(clusters.join(classes.select(F.col("digest").alias("node"), "n", "mark", "copies"), "node"), "jaccard")
     of_cluster = written(sizes.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("all_n")), "jaccard")
@@ -309,7 +309,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts = texts.join(small(member.select("mark").distinct()), "mark", "left_semi").dropDuplicates(["mark", "text"])
     texts = texts.join(small(member), "mark")
     texts = texts.repartition(parts, "cluster_key", "i", "j").sortWithinPartitions("cluster_key", "i", "j")
-    checked = written(texts.mapInArrow(_verifier(threshold, width), "digest binary, links long, root binary"), "jaccard")
+    checked = written(texts.mapInArrow(tidy(_verifier(threshold, width)), "digest binary, links long, root binary"), "jaccard")
     links = checked.groupBy("digest").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     linked = written(roots.withColumnRenamed("node", "digest").join(links, "digest").join(classes.select("digest", "copy_of"), "digest"), "jaccard")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ._arrow import bounded_batches
+from ._arrow import bounded_batches, tidy
 from ._shared import renamed
 from ._text import SLICE_BYTES, slices, string_buffers
 
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     if not model.classes:
         return df.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "rejected": F.lit(True)})
-    out = df.mapInArrow(_predictor(model, text_col, to_arrow_schema(schema)), schema)
+    out = df.mapInArrow(tidy(_predictor(model, text_col, to_arrow_schema(schema))), schema)
     return out.withColumns({"lang_pred": F.when(lettered, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(lettered, F.col("score")).otherwise(0.0)}).withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < model.reject))
 
 

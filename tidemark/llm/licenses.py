@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded_batches
+from ._arrow import bounded_batches, tidy
 from .license_texts import templates
 
 WORD = regex.compile(r"[^\W_]+(?:[.'\-][^\W_]+)*")
@@ -153,4 +153,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 i, k, a, b, name, near, share, differ = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((i, k, name, near, a, b, share, differ), schema, strict=True)], schema=schema)
 
-    return light.mapInArrow(run, f"id {light.schema['id'].dataType.simpleString()}, block long, {FOUND}").withColumnRenamed("id", id_col)
+    return light.mapInArrow(tidy(run), f"id {light.schema['id'].dataType.simpleString()}, block long, {FOUND}").withColumnRenamed("id", id_col)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import bounded_batches, filesystem
+from ._arrow import bounded_batches, filesystem, tidy
 from ._ranges import blocks, ranges
 from ._text import mix, powers, ragged, running, seeds
 
@@ -136,7 +136,7 @@ class PieceEncoder:
     lacks goes to the library once. A store that is full is emptied. Pieces are told apart by 64-bit hashes.
     """
 
-    SLOTS, PROBES, STORE, UNASKED = 1 << 21, 8, 1 << 23, 9
+    SLOTS, PROBES, STORE, UNASKED = 1 << 20, 8, 1 << 22, 9
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -160,9 +160,9 @@ class PieceEncoder:
 
     def _empty(self) -> None:
         self.keys = np.zeros(self.SLOTS, np.uint64)
-        self.place = np.zeros(self.SLOTS, np.int64)
+        self.place = np.zeros(self.SLOTS, np.uint32)
         self.size = np.zeros(self.SLOTS, np.int32)
-        self.store = np.zeros(self.STORE + (1 << 20), np.uint32)
+        self.store = np.zeros(self.STORE + (1 << 20), self.dtype)
         self.used = self.filled = 0
 
     def _classes(self, points: np.ndarray) -> np.ndarray:
@@ -208,7 +208,7 @@ class PieceEncoder:
 
     def _probe(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place, size = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        slot = (hashes >> np.uint64(64 - 21)).astype(np.int64)
+        slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
         left = np.arange(len(hashes))
         for _ in range(self.PROBES):
             got = self.keys[slot]
@@ -220,7 +220,7 @@ class PieceEncoder:
         return place, size
 
     def _insert(self, hashes: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
-        slot = (hashes >> np.uint64(64 - 21)).astype(np.int64)
+        slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
         left = np.arange(len(hashes))
         for _ in range(self.PROBES):
             free = np.flatnonzero(self.keys[slot] == 0)
@@ -256,8 +256,8 @@ class PieceEncoder:
             lengths = np.array([len(x) for x in got], np.int64)
             at = self.used + running(lengths)
             while at[-1] > len(self.store):
-                self.store = np.append(self.store, np.zeros(len(self.store), np.uint32))
-            self.store[self.used : at[-1]] = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
+                self.store = np.append(self.store, np.zeros(len(self.store), self.dtype))
+            self.store[self.used : at[-1]] = np.fromiter((i for x in got for i in x), self.dtype, int(lengths.sum()))
             self.used = int(at[-1])
             self._insert(new, at[:-1], lengths)
             place[miss], size[miss] = at[:-1][back], lengths[back]
@@ -341,7 +341,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": [n_docs], "n_tokens": [out.n_tokens]})
 
     manifest = f"{folder}/manifest"
-    df.mapInArrow(write, SHARDS).write.parquet(manifest)
+    df.mapInArrow(tidy(write), SHARDS).write.parquet(manifest)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return spark.read.schema(SHARDS).parquet(manifest).withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -366,4 +366,4 @@ def read_tokens(shards: DataFrame, folder: str, id_type: str = "long", with_ids:
                             cols["ids"] = pa.array([x.astype(np.int64) for x in ids], pa.list_(pa.int64()))
                         yield pa.RecordBatch.from_pydict(cols)
 
-    return shards.repartitionById(max(1, n), F.col("shard")).mapInArrow(read, schema)
+    return shards.repartitionById(max(1, n), F.col("shard")).mapInArrow(tidy(read), schema)

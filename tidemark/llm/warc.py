@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded_batches, filesystem
+from ._arrow import bounded_batches, filesystem, tidy
 from ._shared import written
 from ._skew import lookup
 
@@ -218,7 +218,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         yield pa.RecordBatch.from_pydict({"path": [path], "n_records": [len(index)]})
 
     manifest = f"{folder}/manifest"
-    rows.mapInArrow(write, FILES).write.parquet(manifest)
+    rows.mapInArrow(tidy(write), FILES).write.parquet(manifest)
     return spark.read.schema(FILES).parquet(manifest)
 
 
@@ -253,7 +253,7 @@ def read_packages(files: DataFrame, folder: str, with_payload: bool = True) -> D
                         rows, held = [], 0
             yield as_batch(rows, with_payload)
 
-    return files.repartition(max(1, files.count())).mapInArrow(read, schema)
+    return files.repartition(max(1, files.count())).mapInArrow(tidy(read), schema)
 
 
 def as_batch(rows: list[tuple], with_payload: bool) -> pa.RecordBatch:
