@@ -30,11 +30,15 @@ METRICS = ["ret_1m", "ret_1y", "cagr_3y", "cagr_5y", "vol_1y", "max_drawdown_1y"
 
 
 def sample_deviation(values: Column) -> Column:
-    """Standard deviation (n - 1) of an array, in two passes."""
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
-    squares = F.aggregate(F.transform(values, lambda x: x - mean), F.lit(0.0), lambda a, x: a + x * x)
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
+    """Standard deviation (n - 1) of an array, in one pass: running mean and running sum of squares about it."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def step(a: Column, x: Column) -> Column:
+        n = a["n"] + 1
+        mean = a["mean"] + (x - a["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (a["squares"] + (x - a["mean"]) * (x - mean)).alias("squares"))
+
+    return F.aggregate(values, start, step, lambda a: F.when(a["n"] > 1, F.sqrt(a["squares"] / (a["n"] - 1))))
 
 
 def deepest_fall(values: Column) -> Column:
