@@ -111,3 +111,29 @@ def test_long_texts_in_stretches(text, limit):
     finally:
         T.LONG = before
     assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 0] and counts.tolist() == [len(ids)]
+
+
+SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "it'<|endoftext|>s  <|endoftext|>  ", "", "<|endoftext|", "|>", "plain"]
+
+
+def test_added_tokens_are_those_of_an_untouched_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary())
+    want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in SPELLED]
+    assert want[0] == [64, 220, 50256, 275, 0]
+    encoder = T.encoder_of(vocabulary())
+    ids, counts = encoder.encode(SPELLED, 0)
+    assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+    df = spark.createDataFrame(list(enumerate(SPELLED)), "doc_id long, text string")
+    assert [r[4] for r in run(spark, df)] == want
+
+
+def test_added_tokens_in_long_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary())
+    text = "one <|endoftext|> two<|endoftext|>three " * 50
+    monkeypatch.setattr(T, "LONG", 30)
+    ids, counts = T.encoder_of(vocabulary()).encode_long(text, 0)
+    assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0] and counts.tolist() == [len(ids)]

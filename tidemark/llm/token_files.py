@@ -134,6 +134,7 @@ class PieceEncoder:
     A byte-level tokenizer first cuts a text into pieces by a pattern and then encodes every piece by itself. Here numpy
     cuts whole batches by the same pattern, with character classes asked of the library; every piece that the store
     lacks goes to the library once. A store that is full is emptied. Pieces are told apart by 64-bit hashes.
+    Added tokens that a text spells out get their ids, as in the library: the text is cut there before it is cut into pieces.
     """
 
     SLOTS, PROBES, STORE, UNASKED = 1 << 20, 8, 1 << 22, 9
@@ -143,11 +144,15 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"] or {}
         self.by_piece = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["normalizer"]
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: k for k, t in added.items()}
+        # The library takes the leftmost and longest of plain added tokens; those that reach beyond their own text are left to it.
+        self.by_piece &= len({t.normalized for t in added.values()}) <= 1 and not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added.values())
+        self.spelled = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         if self.by_piece:
             from tokenizers import Regex
@@ -232,11 +237,26 @@ class PieceEncoder:
             on[put] = False
             left, slot = left[on], (slot[on] + 1) % self.SLOTS
 
+    def _parts(self, texts: list[str], end_id: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The texts cut at added tokens, the id behind each part (the added token's or end_id), and how many parts each text has."""
+        parts, tails, n_parts = [], [], np.ones(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            at = 0
+            for m in self.spelled.finditer(text):
+                parts.append(text[at : m.start()])
+                tails.append(self.added[m[0]])
+                n_parts[k] += 1
+                at = m.end()
+            parts.append(text[at:])
+            tails.append(end_id)
+        return parts, np.array(tails, np.uint32), n_parts
+
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by end_id, and how many ids each text has with it."""
         if not self.by_piece:
             got = [np.array([*e.ids, end_id], np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             return np.concatenate(got or [np.zeros(0, np.uint32)]), np.array([len(x) for x in got], np.int64)
+        texts, tails, n_parts = self._parts(texts, end_id)
         text = "".join(texts)
         offsets = running(np.array([len(x) for x in texts], np.int64))
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -264,12 +284,11 @@ class PieceEncoder:
         ids = self.store[ragged(place, size)]
         of_piece = running(size)
         counts = np.diff(of_piece[np.searchsorted(starts, offsets)])
-        out = np.full(len(ids) + len(texts), end_id, np.uint32)
+        out = np.empty(len(ids) + len(texts), np.uint32)
         keep = np.ones(len(out), bool)
         keep[running(counts + 1)[1:] - 1] = False
-        out[keep] = ids
-        return out, counts + 1
-
+        out[keep], out[~keep] = ids, tails
+        return out, np.diff(running(counts + 1)[running(n_parts)])
 
     def encode_long(self, text: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The same for one long text, in stretches that end before a single blank between other characters: there a piece always begins."""
