@@ -51,3 +51,20 @@ def test_clashing_names_and_no_rows(spark, sf_dir):
             assert sorted(map(str, out.select(docs.columns).collect())) == sorted(map(str, want.collect()))
             assert out.filter(" OR ".join(f"NOT ({new} <=> {old})" for new, old in extra.items())).count() == 0
         assert C.token_files(spark, rows, sf_dir).count() == rows.count()
+
+
+def varied(name, last=""):
+    return " ".join(f"{name}{k}" for k in range(40)) + last
+
+
+def kept_rows(spark, rows):
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r.doc_id, r.text) for r in C.jaccard_join(spark, df, "").collect()), key=str)
+
+
+def test_deduplicated_ids_with_several_texts(spark):
+    x, y, z = varied("x"), varied("y"), varied("z")
+    rows = [(3, x), (7, varied("x", " end")), (7, z)]
+    assert kept_rows(spark, rows) == sorted([(3, x), (7, z)], key=str)
+    rows = [(1, x), (5, varied("x", " end")), (1, y), (6, varied("y", " end")), (1, y)]
+    assert kept_rows(spark, rows) == sorted([(1, x), (1, y)], key=str)

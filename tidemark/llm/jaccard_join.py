@@ -50,13 +50,13 @@ def least_matches(threshold: float, tolerance: float) -> list[int]:
     return out
 
 
-SKETCH = "mark string, id {}, n long, digest binary, bands array<long>"
+SKETCH = "mark string, text_key long, id {}, n long, digest binary, bands array<long>"
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """mark (a row's key: its id, or for a null id a hash of its text), id, number of shingles, digest, bands."""
+    """mark (a row's id as text, or for a null id a hash of its text), text_key (a hash of the text), id, number of shingles, digest, bands."""
     mark = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
-    light = docs.select(mark.alias("mark"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    light = docs.select(mark.alias("mark"), F.xxhash64(text_col).alias("text_key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = seeds(HASHES, 11) | np.uint64(1)
@@ -68,7 +68,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 words64 = values.view(np.int64)
                 for r, x in zip(filled.tolist(), words64, strict=True):
                     bands[r] = x
-                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["mark", "id", "n", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("text_key"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["mark", "text_key", "id", "n", "digest", "bands"])
 
     return light.mapInArrow(tidy(run), SKETCH.format(light.schema["id"].dataType.simpleString()))
 
@@ -284,6 +284,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat an id each have a row and are linked if their texts are alike. Rows with a null id take part; they are named by their group's smallest
     id, or null. An empty table gives an empty result. Extra columns are ignored.
     """
+    return grouped(docs, id_col, text_col, threshold, width, tolerance).drop("text_key", "root")
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 5, tolerance: float = 1e-5) -> DataFrame:
+    """:func:`jaccard_join` with two more columns: ``text_key``, which with ``mark`` tells rows of one id and different texts apart, and ``root``, a name of the group that no other group has (null without links)."""
     bounded_batches(docs.sparkSession)
     rows = written(sketches(docs, id_col, text_col, width), "jaccard")
     total = rows.count()
@@ -314,12 +319,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     roots = components(checked.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     linked = written(roots.withColumnRenamed("node", "digest").join(links, "digest").join(classes.select("digest", "copy_of"), "digest"), "jaccard")
     groups = written(linked.groupBy("root").agg(F.min("copy_of").alias("class_id"), F.count("*").alias("members")), "jaccard")
-    named = lookup(linked.select("digest", "root", "links"), groups, "root", "members", max(1, linked.count())).select("digest", "class_id", "links")
+    named = lookup(linked.select("digest", "root", "links"), groups, "root", "members", max(1, linked.count())).select("digest", "class_id", "links", "root")
     table = classes.select("digest", "copy_of", "copies").join(named, "digest", "left").filter("copies > 1 OR links > 0")
-    table = written(table.withColumn("class_id", F.coalesce("class_id", "copy_of")), "jaccard")
-    out = lookup(rows.select("mark", "id", "digest"), table, "digest", "copies", max(1, total))
+    table = written(table.withColumns({"class_id": F.coalesce("class_id", "copy_of"), "root": F.coalesce("root", "digest")}), "jaccard")
+    out = lookup(rows.select("mark", "text_key", "id", "digest"), table, "digest", "copies", max(1, total))
     n_links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
-    return out.select("mark", "id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"), n_links.cast("long").alias("n_links"))
+    return out.select("mark", "text_key", "id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"), n_links.cast("long").alias("n_links"), "root")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -327,21 +332,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Rows without links stay, and so do null and empty texts; of rows that repeat another whole one stays, if they have words.
     """
-    found = written(jaccard_join(docs, id_col, text_col, **options), "jaccard")
-    linked = found.filter("n_links > 0")
-    keeper = linked.groupBy("class_id").agg(F.min_by("mark", F.struct(F.col("id").isNull(), F.col("id"), F.col("mark"))).alias("keeper"))
-    unnamed = linked.filter("class_id IS NULL").count()
-    keeper = written(keeper.filter("class_id IS NOT NULL"), "jaccard")
-    gone = linked.join(keeper.withColumnRenamed("keeper", "mark").select("mark"), "mark", "left_anti").select("mark").distinct()
-    if unnamed:  # groups of null ids only: their marks are hashes of texts, and one of equal marks stays
-        gone = gone.join(linked.filter("class_id IS NULL").select("mark").distinct(), "mark", "left_anti")
-    gone = written(gone, "jaccard")
-    twice = written(linked.groupBy("mark").count().filter("count > 1").select("mark"), "jaccard")
+    own = ["mark", "text_key"]
+    linked = written(grouped(docs, id_col, text_col, **options).filter("n_links > 0").select(*own, "id", "class_id", "root"), "jaccard")
+    keeper = linked.groupBy("root").agg(F.min_by(F.struct(*own), F.struct(F.col("id").isNull(), F.col("id"), *own)).alias("keeper"))
+    keeper = written(keeper.select("keeper.*"), "jaccard")
+    gone = linked.join(keeper, own, "left_anti").filter("class_id IS NOT NULL").select(own).distinct()
+    gone = written(gone, "jaccard")  # in groups of null ids only, one of equal texts stays
+    twice = written(linked.groupBy(own).count().filter("count > 1").select(own), "jaccard")
     work, columns, (own_id, own_text) = renamed(docs, id_col, text_col)
     mark = F.coalesce(F.col(own_id).cast("string"), F.concat(F.lit("~"), F.xxhash64(own_text).cast("string")))
-    kept = work.withColumn("mark", mark).join(small(gone), "mark", "left_anti")
+    kept = work.withColumns({"mark": mark, "text_key": F.xxhash64(own_text)}).join(small(gone), own, "left_anti")
     if not twice.isEmpty():
         repeated = small(twice)
-        once = kept.join(repeated, "mark", "left_semi").dropDuplicates(["mark"])
-        kept = kept.join(repeated, "mark", "left_anti").unionByName(once)
+        once = kept.join(repeated, own, "left_semi").dropDuplicates(own)
+        kept = kept.join(repeated, own, "left_anti").unionByName(once)
     return kept.select(columns).toDF(*docs.columns)
