@@ -68,3 +68,10 @@ def test_deduplicated_ids_with_several_texts(spark):
     assert kept_rows(spark, rows) == sorted([(3, x), (7, z)], key=str)
     rows = [(1, x), (5, varied("x", " end")), (1, y), (6, varied("y", " end")), (1, y)]
     assert kept_rows(spark, rows) == sorted([(1, x), (1, y)], key=str)
+
+
+def test_deduplicated_near_copies_without_ids(spark):
+    texts = [varied("x"), varied("x", " end"), varied("x", " stop")]
+    got = kept_rows(spark, [(None, t) for t in texts] + [(None, varied("y")), (None, None), (None, None)])
+    assert len(got) == 4 and (None, varied("y")) in got and got.count((None, None)) == 2
+    assert sum(t in texts for _, t in got) == 1

@@ -333,11 +333,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows without links stay, and so do null and empty texts; of rows that repeat another whole one stays, if they have words.
     """
     own = ["mark", "text_key"]
-    linked = written(grouped(docs, id_col, text_col, **options).filter("n_links > 0").select(*own, "id", "class_id", "root"), "jaccard")
+    linked = written(grouped(docs, id_col, text_col, **options).filter("n_links > 0").select(*own, "id", "root"), "jaccard")
     keeper = linked.groupBy("root").agg(F.min_by(F.struct(*own), F.struct(F.col("id").isNull(), F.col("id"), *own)).alias("keeper"))
     keeper = written(keeper.select("keeper.*"), "jaccard")
-    gone = linked.join(keeper, own, "left_anti").filter("class_id IS NOT NULL").select(own).distinct()
-    gone = written(gone, "jaccard")  # in groups of null ids only, one of equal texts stays
+    gone = written(linked.join(keeper, own, "left_anti").select(own).distinct(), "jaccard")
     twice = written(linked.groupBy(own).count().filter("count > 1").select(own), "jaccard")
     work, columns, (own_id, own_text) = renamed(docs, id_col, text_col)
     mark = F.coalesce(F.col(own_id).cast("string"), F.concat(F.lit("~"), F.xxhash64(own_text).cast("string")))
