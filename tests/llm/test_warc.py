@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import io
 import zipfile
@@ -104,3 +105,28 @@ def test_what_isn_t_a_package():
     index = W.ZipIndex(sink, len(sink.getvalue()))
     with pytest.raises(ValueError, match="stored"):
         list(index.ranges(index.members["archive/a"], [(0, 1)]))
+
+
+def test_braces_and_line_separators_in_urls(spark):
+    rows = [(1, "http://h/{id}", "a"), (2, 'http://h/{"x": 1}', "b"), (3, "http://h/\u2028\x85{", "c")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert run(spark, df) == expected(rows)
+
+
+def indexed(name, data):
+    sink = io.BytesIO()
+    raw = W.record("response", "1", "http://x/", "2020-01-01T00:00:00Z", digest(b"p"), 1, b"p", None)
+    with zipfile.ZipFile(sink, "w") as z:
+        z.writestr("archive/a.warc", raw)
+        z.writestr("indexes/index.idx", "! meta\n")
+        z.writestr(f"indexes/{name}", data.replace(b"LENGTH", b"%d" % len(raw)) if not name.endswith(".gz") else gzip.compress(data.replace(b"LENGTH", b"%d" % len(raw))))
+    return list(W.read_package(sink, len(sink.getvalue())))
+
+
+def test_gzipped_indexes_and_indexes_that_can_t_be_read():
+    line = b'!meta {"format": "x"}\nx 2020 {"filename": "a.warc", "offset": 0, "length": LENGTH}\n'
+    assert len(indexed("index.cdx.gz", line)) == len(indexed("index.cdxj.gz", line)) == len(indexed("index.cdxj", line + line)) == 1
+    with pytest.raises(ValueError, match="CDXJ"):
+        indexed("index.cdx", b" CDX N b a m s k r M S V g\nx 2020 http://x/ text/html 200 D - - 9 0 a.warc\n")
+    with pytest.raises(ValueError, match="unknown index"):
+        indexed("index.lst", line)

@@ -62,8 +62,8 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def safe_uri(url: str | None, page: str) -> str:
-    """The url with control characters and blanks percent-encoded; a null or empty url becomes the record's own name."""
-    return re.sub(r"[\x00-\x20\x7F]", lambda m: f"%{ord(m[0]):02X}", url) if url else f"{ID}{page}"
+    """The url, or for a null or empty one the record's own name, with control characters and blanks percent-encoded."""
+    return re.sub(r"[\x00-\x20\x7F]", lambda m: f"%{ord(m[0]):02X}", url or f"{ID}{page}")
 
 
 @dataclass
@@ -152,13 +152,28 @@ class ZipIndex:
 
 
 def index_entries(package: ZipIndex) -> Iterator[tuple[Member, int, int]]:
-    """Archive member, offset and length of every record that the package's indexes list."""
+    """Archive member, offset and length of every record that the package's indexes (CDXJ lines, gzipped or not) list; one listed twice comes once.
+
+    Secondary indexes (.idx) name no records; any other index or line raises.
+    """
+    seen = set()
     for name, m in sorted(package.members.items()):
-        if name.startswith("indexes/") and name.endswith((".cdx", ".cdxj")):
-            for line in package.read(m).decode().splitlines():
-                if "{" in line:
-                    entry = json.loads(line[line.index("{") :])
-                    yield package.members["archive/" + entry["filename"]], int(entry["offset"]), int(entry["length"])
+        if not name.startswith("indexes/") or name.endswith(("/", ".idx")):
+            continue
+        if not name.endswith((".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz")):
+            raise ValueError(f"unknown index {name}")
+        raw = package.read(m)
+        for line in (gzip.decompress(raw) if name.endswith(".gz") else raw).decode().split("\n"):
+            if not line.strip() or line.startswith("!"):
+                continue
+            fields = line.split(" ", 2)
+            if len(fields) < 3 or not fields[2].startswith("{"):
+                raise ValueError(f"{name} has a line that isn't CDXJ: {line[:80]}")
+            entry = json.loads(fields[2])
+            place = "archive/" + entry["filename"], int(entry["offset"])
+            if place not in seen:
+                seen.add(place)
+                yield package.members[place[0]], place[1], int(entry["length"])
 
 
 def read_package(source, size: int) -> Iterator[tuple[dict[str, str], bytes]]:
