@@ -20,7 +20,7 @@ FROM d LEFT JOIN cover USING (u) LEFT JOIN its USING (u)
 """
 
 ORACLES["op4_mixing"] = r"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i, sum(source_size) OVER () * 1.5::DOUBLE AS budget FROM s0),
 s2 AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][i % 3 + 1] AS w, source_size * 2.0::DOUBLE AS cap FROM s1),
@@ -32,7 +32,7 @@ s AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size)
 g AS (SELECT source, h, sum(size) AS n FROM d GROUP BY source, h),
 c AS (SELECT source, h, n, sum(n) OVER (PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS base FROM g),
 x AS (SELECT c.source, c.h, c.base + c.n / 2.0::DOUBLE <= s.target - s.rounds * s.source_size AS more FROM c JOIN s ON c.source IS NOT DISTINCT FROM s.source)
-SELECT d.doc_id, d.size, s.source_size, s.target, CAST(d.size * (s.rounds + CASE WHEN x.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+SELECT d.doc_id, d.size, s.source_size, s.target, CAST(d.size * least(2, s.rounds + CASE WHEN x.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """
 
