@@ -66,3 +66,44 @@ def test_shared_counts():
     value = np.array([names[x] for s in sets for x in s], np.uint64)
     got = J.shared_counts((row, value), 4, (row, value), 4)
     assert got.tolist() == [[len(a & b) for b in sets] for a in sets]
+
+
+def test_chained_cluster_is_verified_in_its_buckets(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 8)
+    seen = []
+    monkeypatch.setattr(J, "_dealt", lambda df, *a, f=J._dealt: (seen.append(df), f(df, *a))[1])
+    rows = [(k, " ".join(f"w{x}" for x in range(5 * k, 5 * k + 100)), None, None, 0) for k in range(250)]
+    assert run(spark.createDataFrame(rows, SCHEMA)) == groups([r[:2] for r in rows])
+    assert len(seen) == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_deduplicated_rows_of_every_kind(spark, seed):
+    """One row of every linked group stays, whatever ids repeat, and every row without links."""
+    random = np.random.default_rng(seed)
+    texts = [" ".join(f"{base}{x}" for x in range(30)) + end for base in "abc" for end in ("", " end", " stop")] + ["unlike and short", "", None, "!!!"]
+    rows = [(None if i == 4 else int(i), texts[t]) for i, t in zip(random.integers(0, 5, 40), random.integers(0, len(texts), 40), strict=True)]
+    for order in [(rows, rows[::-1], sorted(rows, key=str))[seed]]:
+        df = spark.createDataFrame([(*r, None, None, 0) for r in order], SCHEMA)
+        got = [(r.doc_id, r.text) for r in J.deduplicated(df).collect()]
+        want = []
+        for kind in {t[0] if t and t[0] in "abc" and " " in t and t[1] == "0" else t for _, t in rows}:
+            group = [r for r in rows if r[1] == kind or (kind in ("a", "b", "c") and r[1] and r[1].startswith(kind + "0"))]
+            want.append((kind, len(group) if not kind else 1, min((i for i, _ in group if i is not None), default=None) if kind else None))
+        for kind, n, least in want:
+            mine = [r for r in got if r[1] == kind or (kind in ("a", "b", "c") and r[1] and r[1].startswith(kind + "0"))]
+            assert len(mine) == n
+            assert not kind or mine[0][0] == least
+        assert set(got) <= set(rows) and len(got) == sum(n for _, n, _ in want)
+
+
+def test_nothing_is_sorted_for_aggregates(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plans = []
+    keep = J.written
+    J.written = lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df, name))[1]
+    try:
+        J.jaccard_join(docs)
+    finally:
+        J.written = keep
+    assert len(plans) > 8 and not any("SortAggregate" in p for p in plans)

@@ -6,7 +6,7 @@ import pytest
 from tidemark.llm import mixing as M
 
 
-def expected(rows, weights=(3, 1, 2), share=1.5, most=2.0):
+def expected(rows, weights=(3, 1, 2), share=1.5, most=2):
     """rows: (id, text, source)."""
     size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
     total = {}
@@ -30,11 +30,11 @@ def expected(rows, weights=(3, 1, 2), share=1.5, most=2.0):
         groups = {}
         for k, (i, _, other) in enumerate(rows):
             if other == s:
-                groups.setdefault(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), []).append(k)
+                groups.setdefault(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], []).append(k)
         for h in sorted(groups):
             n = sum(size[k] for k in groups[h])
             for k in groups[h]:
-                taken[k] = size[k] * (rounds + (base + n / 2 <= rest))
+                taken[k] = size[k] * min(most, rounds + (base + n / 2 <= rest))
             base += n
     return sorted(((i, size[k], total[s], round(target[s], 6), taken[k]) for k, (i, _, s) in enumerate(rows)), key=str)
 
@@ -86,3 +86,28 @@ def test_mixed_rows_repeat(spark, sf_dir):
     assert out.columns == docs.columns
     counts = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert counts == {r.doc_id: r.copies for r in M.mix(docs).collect() if r.copies}
+
+
+def test_no_document_is_taken_more_than_most_times(spark):
+    """Empty documents of a source at its limit lie below the first hash with words."""
+    rows = [(k, "" if k % 3 else "some words here", "a") for k in range(600)] + [(10_000 + k, "w " * 50, "b") for k in range(400)]
+    out = M.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert max(r.copies for r in out) == 2 and {r.copies for r in out if r.source == "a" and r["size"]} == {2}
+
+
+def test_very_long_texts_count_whole(spark):
+    rows = [(1, "w " * 400_000, "a"), (2, "w", "a"), (3, "x " * 10, "b")]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string, source string")) == expected(rows)
+
+
+def test_documents_are_never_sorted(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plans, keep = [], M.written
+    monkeypatch.setattr(M, "written", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df, name))[1])
+    plans.append(M.mix(docs)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) >= 4 and not any("SortAggregate" in p or "SortMergeJoin" in p for p in plans)
+    # What is sorted is the sums by bucket and by source: every sort lies behind an aggregate.
+    for p in plans:
+        lines = p.splitlines()
+        for k, line in enumerate(lines):
+            assert "Sort [" not in line or any("HashAggregate" in x for x in lines[k + 1 :])

@@ -1,14 +1,16 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
 1. Every text becomes its set of distinct five-word shingles (64-bit hashes), the set's 128-bit digest and a signature: ``HASHES`` MinHash
-   values of 16 bits. Texts with equal sets are one class; only classes go on.
+   values of 16 bits. Texts with equal sets are one class, which gets a number; only classes go on.
 2. Four values are a band, and a signature's bands are 64-bit words; classes that share a word meet in a bucket. A pair at the threshold 0.8
    meets nowhere with probability 5e-8. A bucket of more than ``BLOCK`` classes is dealt into pairs of blocks.
 3. In a bucket a pair's MinHash values are compared ``STEP`` at a time, and a pair is dropped as soon as the
-   posterior probability (even prior) that its similarity reaches the threshold is below ``tolerance``. What is left is
-   reported as a forest (each class's smallest partner), not as pairs, and its components are clusters.
-4. In a cluster (dealt into pairs of blocks too) every pair is verified exactly: shared shingles are counted by products of incidence matrices.
-   A task reports each class's number of links and a forest of them; the links' components are the groups.
+   posterior probability (even prior) that its similarity reaches the threshold is below ``tolerance``. Pairs that are left are not listed:
+   a bucket reports the classes that have some, each with the smallest class that it hangs together with. Their components are clusters.
+4. The pairs that are left are found again and verified exactly, where their texts are: shared shingles are counted by products of incidence
+   matrices. A cluster is dealt into pairs of blocks; if that takes more copies of texts than its buckets do (a long chain), its
+   buckets are verified instead, which hold no pairs but those that meet there. A task reports each class's number of links and a forest
+   of them; the links' components are the groups.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches, tidy
 from ._components import components
-from ._shared import renamed, written
+from ._shared import dropped, renamed, written
 from ._skew import lookup, small
 from ._text import mix, running, seeds, shingles, slices, string_buffers, words
 
@@ -50,13 +52,18 @@ def least_matches(threshold: float, tolerance: float) -> list[int]:
     return out
 
 
-SKETCH = "mark string, text_key long, id {}, n long, digest binary, bands array<long>"
+BANDS = HASHES // BAND
+WORDS = [f"b{k}" for k in range(BANDS)]
+SKETCH = "mark string, text_key long, id {}, n long, digest binary, " + ", ".join(f"{w} long" for w in WORDS)
+
+
+def _mark(id_col: str, text_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """mark (a row's id as text, or for a null id a hash of its text), text_key (a hash of the text), id, number of shingles, digest, bands."""
-    mark = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
-    light = docs.select(mark.alias("mark"), F.xxhash64(text_col).alias("text_key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """mark (a row's id as text, or for a null id a hash of its text), text_key (a hash of the text), id, number of shingles, digest, and a column for each band."""
+    light = docs.select(_mark(id_col, text_col).alias("mark"), F.xxhash64(text_col).alias("text_key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = seeds(HASHES, 11) | np.uint64(1)
@@ -64,11 +71,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
             for a, b in slices(whole.column("text")):
                 batch = whole.slice(a, b - a)
                 n, digests, values, filled = sketch(batch.column("text"), width, factors)
-                bands: list = [None] * len(batch)
-                words64 = values.view(np.int64)
-                for r, x in zip(filled.tolist(), words64, strict=True):
-                    bands[r] = x
-                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("text_key"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["mark", "text_key", "id", "n", "digest", "bands"])
+                words64 = np.zeros((len(batch), BANDS), np.int64)
+                words64[filled] = values.view(np.int64)
+                bands = [pa.array(words64[:, k], mask=n == 0) for k in range(BANDS)]
+                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("text_key"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), *bands], names=["mark", "text_key", "id", "n", "digest", *WORDS])
 
     return light.mapInArrow(tidy(run), SKETCH.format(light.schema["id"].dataType.simpleString()))
 
@@ -170,12 +176,12 @@ def paired(starts: np.ndarray, n: int, side: np.ndarray, most: int = 1 << 16) ->
 
 
 def survivors(bands: np.ndarray, n: np.ndarray, band: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose set sizes allow the threshold, that meet here first, and that no step of comparisons drops."""
+    """Pairs whose set sizes allow the threshold, that meet in this band first (in any, if it is -1), and that no step of comparisons drops."""
     low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
     ok = low >= high * threshold - 1e-9
     a, b = a[ok], b[ok]
     same = bands[a] == bands[b]
-    ok = same.argmax(1) == band[a]
+    ok = np.where(band[a] < 0, same.any(1), same.argmax(1) == band[a])
     a, b = a[ok], b[ok]
     values = bands.view(np.uint16)
     matches = np.zeros(len(a), np.int64)
@@ -186,23 +192,36 @@ def survivors(bands: np.ndarray, n: np.ndarray, band: np.ndarray, a: np.ndarray,
     return a, b
 
 
-def _pruner(threshold: float, least: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    keys = ["band", "word", "i", "j"]
+def _signatures(table: pa.Table) -> np.ndarray:
+    return np.ascontiguousarray(np.stack([np.asarray(table[w]) for w in WORDS], 1))
+
+
+def _left(table: pa.Table, keys: list[str], threshold: float, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows that pruning leaves in the groups of a table."""
+    starts = group_starts([np.asarray(table[k]) for k in keys])
+    i, j, block, band = (np.asarray(table[k]) for k in ("i", "j", "block", "band"))
+    side = np.where(i == j, 2, (block == j).astype(int))
+    bands, n = _signatures(table), np.asarray(table["n"])
+    for a, b in paired(starts, len(table), side):
+        yield survivors(bands, n, band, a, b, threshold, least)
+
 
+PLACE = ["band", "word", "i", "j"]
+MET = "band int, word long, i int, j int, block int, cid long, root long"
+
+
+def _pruner(threshold: float, least: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, keys):
+        for table in whole_groups(batches, PLACE):
             if not len(table):
                 continue
-            starts = group_starts([np.asarray(table[k]) for k in keys])
-            i, j, block, band = (np.asarray(table[k]) for k in ("i", "j", "block", "band"))
-            side = np.where(i == j, 2, (block == j).astype(int))
-            bands = np.asarray(table["bands"].combine_chunks().flatten()).reshape(-1, HASHES // BAND)
-            forest, n = Forest(len(table)), np.asarray(table["n"])
-            for a, b in paired(starts, len(table), side):
-                forest.add(*survivors(bands, n, band, a, b, threshold, least))
-            moved = np.flatnonzero(forest.root != np.arange(len(table)))
-            digest = table["digest"].combine_chunks()
-            yield pa.RecordBatch.from_arrays([digest.take(pa.array(moved)), digest.take(pa.array(forest.root[moved]))], names=["a", "b"])
+            forest, active = Forest(len(table)), np.zeros(len(table), bool)
+            for a, b in _left(table, PLACE, threshold, least):
+                forest.add(a, b)
+                active[a] = active[b] = True
+            k = np.flatnonzero(active)
+            cid = np.asarray(table["cid"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.asarray(table[c])[k]) for c in (*PLACE, "block", "cid")], pa.array(cid[forest.root[k]])], names=[*PLACE, "block", "cid", "root"])
 
     return run
 
@@ -213,7 +232,7 @@ def shared_counts(rows_a: tuple[np.ndarray, np.ndarray], n_a: int, rows_b: tuple
     pa_, pb = place[: len(rows_a[1])], place[len(rows_a[1]) :]
     both = (np.bincount(pa_, minlength=len(values)) > 0) & (np.bincount(pb, minlength=len(values)) > 0)
     number = np.cumsum(both) - 1
-    out = np.zeros((n_a, n_b), np.float32)
+    out = np.zeros((n_a, n_b))
     ka, kb = both[pa_], both[pb]
     ra, ca, rb, cb = rows_a[0][ka], number[pa_[ka]], rows_b[0][kb], number[pb[kb]]
     for at in range(0, int(both.sum()), COLUMNS):
@@ -226,28 +245,33 @@ def shared_counts(rows_a: tuple[np.ndarray, np.ndarray], n_a: int, rows_b: tuple
     return out
 
 
-def _verifier(threshold: float, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    keys = ["cluster_key", "i", "j"]
+def _verifier(threshold: float, width: int, least: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    keys = ["gkey", "band", "i", "j"]
 
     def of_group(table: pa.Table) -> pa.RecordBatch:
         row, value = sets_of(table["text"].combine_chunks(), width)
         n = np.bincount(row, minlength=len(table))
         asked = table["digest"].to_pylist()
         first = {d: r for r, (d, x) in reversed(list(enumerate(zip(asked, set_digests(n, value), strict=True)))) if d == x}
-        if len(first) < len(table):  # rows that repeat an id with another text, or a whole row
+        if len(first) < len(table):  # other texts with an equal hash, or a row that repeats
             return of_group(table.take(pa.array(sorted(first.values()), pa.int64())))
-        digest, i, j = table["digest"].combine_chunks(), table["i"][0].as_py(), table["j"][0].as_py()
-        copies, block = np.asarray(table["copies"]), np.asarray(table["block"])
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        cid, copies, block = (np.asarray(table[c]) for c in ("cid", "copies", "block"))
         left, right = (np.flatnonzero(block == x) for x in (i, j))
         place = np.zeros(len(table), np.int64)
         place[left] = np.arange(len(left))
         place[right] = np.arange(len(right))
+        asked_for = np.zeros((len(left), len(right)), bool)
+        for a, b in _left(table, keys, threshold, least):
+            if i == j:
+                asked_for[place[a], place[b]] = asked_for[place[b], place[a]] = True
+            else:
+                swap = block[a] == j
+                asked_for[place[np.where(swap, b, a)], place[np.where(swap, a, b)]] = True
         in_a, in_b = np.isin(row, left), np.isin(row, right)
         shared = shared_counts((place[row[in_a]], value[in_a]), len(left), (place[row[in_b]], value[in_b]), len(right))
         either = n[left][:, None] + n[right][None, :] - shared
-        linked = shared >= threshold * either - 1e-6
-        if i == j:
-            np.fill_diagonal(linked, False)
+        linked = asked_for & (shared >= threshold * either - 1e-6)
         links = np.zeros(len(table), np.int64)
         links[left] += linked @ copies[right]
         if i != j:
@@ -255,7 +279,7 @@ def _verifier(threshold: float, width: int) -> Callable[[Iterator[pa.RecordBatch
         forest = Forest(len(table))
         x, y = np.nonzero(linked)
         forest.add(left[x], right[y])
-        return pa.RecordBatch.from_arrays([digest, pa.array(links), digest.take(pa.array(forest.root))], names=["digest", "links", "root"])
+        return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(links), pa.array(cid[forest.root])], names=["cid", "links", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, keys):
@@ -276,71 +300,90 @@ def _dealt(df: DataFrame, blocks, key: str) -> DataFrame:
     return df.withColumn("p", F.explode(pair)).select("*", "p.i", "p.j").drop("p", "blocks")
 
 
+def _repeats(rows: DataFrame) -> bool:
+    """Whether some text is in more than one row."""
+    return not rows.groupBy("text_key").count().filter("count > 1").isEmpty()
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 5, tolerance: float = 1e-5) -> DataFrame:
     """A row for every row of ``docs``: mark, id, ``copy_of`` (smallest id with the same shingle set), ``class_id`` (smallest id of the group that links connect), ``n_links``.
 
     A link joins two rows whose shingle sets have a Jaccard similarity of ``threshold`` or more; copies count as links. A text with fewer
     than ``width`` words has one shingle of all; texts without words are linked only to equal ones; null and empty texts to none. Rows that
     repeat an id each have a row and are linked if their texts are alike. Rows with a null id take part; they are named by their group's smallest
-    id, or null. An empty table gives an empty result. Extra columns are ignored.
+    id, or null. Very long texts count whole. An empty table gives an empty result. Extra columns are ignored.
     """
     return grouped(docs, id_col, text_col, threshold, width, tolerance).drop("text_key", "root")
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 5, tolerance: float = 1e-5) -> DataFrame:
     """:func:`jaccard_join` with two more columns: ``text_key``, which with ``mark`` tells rows of one id and different texts apart, and ``root``, a name of the group that no other group has (null without links)."""
-    bounded_batches(docs.sparkSession)
-    rows = written(sketches(docs, id_col, text_col, width), "jaccard")
-    total = rows.count()
-    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_of"), F.min("mark").alias("mark"), F.count("*").alias("copies"), F.min("n").alias("n"), F.first("bands").alias("bands"))
-    classes = written(classes, "jaccard")
-    spread = classes.filter("n > 0").select("digest", F.posexplode("bands").alias("band", "word"))
-    shared = spread.groupBy("band", "word").agg(F.count("*").alias("size")).filter("size > 1")
-    met = spread.join(shared, ["band", "word"]).join(classes.select("digest", "n", "bands"), "digest")
-    met = _dealt(met, F.ceil(F.col("size") / BLOCK), "digest")
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    met = met.repartition(parts, "band", "word", "i", "j").sortWithinPartitions("band", "word", "i", "j")
-    near = written(met.mapInArrow(tidy(_pruner(threshold, least_matches(threshold, tolerance))), "a binary, b binary").distinct(), "jaccard")
-    clusters = written(components(near), "jaccard")
-    sizes = written(clusters.join(classes.select(F.col("digest").alias("node"), "n", "mark", "copies"), "node"), "jaccard")
-    of_cluster = written(sizes.groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("all_n")), "jaccard")
-    member = lookup(sizes, of_cluster, "root", "members", max(1, clusters.count()))
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    least, parts = least_matches(threshold, tolerance), max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sketched = written(sketches(docs, id_col, text_col, width), "jaccard")
+    total = sketched.count()
+    # Numbers, once written, stay. All aggregates are of numbers, so that nothing is sorted for them.
+    of_set = sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_of"), F.min("text_key").alias("text_key"), F.count("*").alias("copies"), F.min("n").alias("n"), *[F.max(w).alias(w) for w in WORDS])
+    classes = written(of_set.withColumn("cid", F.monotonically_increasing_id()), "jaccard")
+    rows = sketched.select("mark", "text_key", "id", "digest")
+    spread = classes.filter("n > 0").select("cid", "n", F.posexplode(F.array(*WORDS)).alias("band", "word"))
+    spread = spread.withColumn("word", F.xxhash64("band", "word"))
+    shared = spread.groupBy("word").agg(F.count("*").alias("size"), F.sum("n").alias("all_n")).filter("size > 1")
+    met = lookup(spread.drop("n"), written(shared, "jaccard"), "word", "size", max(1, BANDS * classes.count())).filter("size IS NOT NULL")
+    met = met.join(classes.select("cid", "n", *WORDS), "cid")
+    met = _dealt(met, F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_n") / CLUSTER_SHINGLES)), "cid")
+    met = met.repartition(parts, *PLACE).sortWithinPartitions(*PLACE)
+    near = written(met.mapInArrow(tidy(_pruner(threshold, least)), MET), "jaccard")
+    clusters = written(components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")).distinct()), "jaccard")
+    light = classes.select(F.col("cid").alias("node"), "n")
+    of_cluster = clusters.join(light, "node").groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("all_n"))
+    places = near.select(F.col("cid").alias("node")).join(clusters, "node").groupBy("root").agg(F.count("*").alias("places"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("all_n") / CLUSTER_SHINGLES))
-    member = _dealt(member.withColumn("digest", F.col("node")), blocks, "digest").select("mark", "digest", "copies", F.xxhash64("root").alias("cluster_key"), "block", "i", "j")
-    member = written(member, "jaccard")
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
-    texts = docs.select(key.alias("mark"), F.col(text_col).alias("text"))
-    if not rows.groupBy("mark").count().filter("count > 1").isEmpty():
-        texts = texts.join(small(member.select("mark").distinct()), "mark", "left_semi").dropDuplicates(["mark", "text"])
-    texts = texts.join(small(member), "mark")
-    texts = texts.repartition(parts, "cluster_key", "i", "j").sortWithinPartitions("cluster_key", "i", "j")
-    checked = written(texts.mapInArrow(tidy(_verifier(threshold, width)), "digest binary, links long, root binary"), "jaccard")
-    links = checked.groupBy("digest").agg(F.sum("links").alias("links"))
-    roots = components(checked.select(F.col("digest").alias("a"), F.col("root").alias("b")))
-    linked = written(roots.withColumnRenamed("node", "digest").join(links, "digest").join(classes.select("digest", "copy_of"), "digest"), "jaccard")
+    of_cluster = written(of_cluster.join(places, "root").withColumn("blocks", blocks).withColumn("whole", F.col("members") * F.col("blocks") <= F.col("places")), "jaccard")
+    member = lookup(clusters, of_cluster, "root", "members", max(1, clusters.count()))
+    member = written(member.select(F.col("node").alias("cid"), "root", "blocks", "whole"), "jaccard")
+    whole = _dealt(member.filter("whole").drop("whole"), F.col("blocks"), "cid").select("cid", F.xxhash64("root").alias("gkey"), F.lit(-1).alias("band"), "i", "j", "block")
+    by_bucket = near.join(member.filter("NOT whole").select("cid"), "cid").select("cid", F.col("word").alias("gkey"), "band", "i", "j", "block")
+    places = whole.unionByName(by_bucket).join(classes.select("cid", "text_key", "digest", "copies", "n", *WORDS), "cid")
+    places = written(places, "jaccard")
+    wanted = small(places.select("text_key").distinct())
+    texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(wanted, "text_key", "left_semi")
+    once = texts.dropDuplicates(["text_key", "text"]) if _repeats(rows) else texts
+    texts = once.join(small(places), "text_key")
+    texts = texts.repartition(parts, "gkey", "band", "i", "j").sortWithinPartitions("gkey", "band", "i", "j")
+    checked = written(texts.mapInArrow(tidy(_verifier(threshold, width, least)), "cid long, links long, root long"), "jaccard")
+    links = checked.groupBy("cid").agg(F.sum("links").alias("links"))
+    roots = components(checked.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    linked = roots.withColumnRenamed("node", "cid").join(links, "cid").join(classes.select("cid", "copy_of"), "cid")
+    linked = written(linked, "jaccard")
     groups = written(linked.groupBy("root").agg(F.min("copy_of").alias("class_id"), F.count("*").alias("members")), "jaccard")
-    named = lookup(linked.select("digest", "root", "links"), groups, "root", "members", max(1, linked.count())).select("digest", "class_id", "links", "root")
-    table = classes.select("digest", "copy_of", "copies").join(named, "digest", "left").filter("copies > 1 OR links > 0")
-    table = written(table.withColumns({"class_id": F.coalesce("class_id", "copy_of"), "root": F.coalesce("root", "digest")}), "jaccard")
-    out = lookup(rows.select("mark", "text_key", "id", "digest"), table, "digest", "copies", max(1, total))
+    named = lookup(linked.select("cid", "root", "links"), groups, "root", "members", max(1, linked.count())).select("cid", "class_id", "links", "root")
+    table = classes.select("cid", "digest", "copy_of", "copies").join(named, "cid", "left").filter("copies > 1 OR links > 0")
+    table = written(table.withColumns({"class_id": F.coalesce("class_id", "copy_of"), "root": F.coalesce("root", "cid")}).drop("cid"), "jaccard")
+    dropped(classes, near, clusters, of_cluster, member, places, checked, linked, groups)
+    out = lookup(rows, table, "digest", "copies", max(1, total))
     n_links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
     return out.select("mark", "text_key", "id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"), n_links.cast("long").alias("n_links"), "root")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of every group that links connect: the one with the smallest id (of several with it, or without any, the one with the smallest mark).
+    """``docs``, with all its columns, with one row of every group that links connect: the one with the smallest id (of several with it, or without any, the one with the smallest hash of its text).
 
-    Rows without links stay, and so do null and empty texts; of rows that repeat another whole one stays, if they have words.
+    Rows are told apart by id and text, so an id that repeats with other texts takes none of them along. Rows without links stay, and so do null and
+    empty texts; of rows that repeat another whole one stays, if they have words. Very long texts count whole; an empty table stays one.
     """
     own = ["mark", "text_key"]
     linked = written(grouped(docs, id_col, text_col, **options).filter("n_links > 0").select(*own, "id", "root"), "jaccard")
-    keeper = linked.groupBy("root").agg(F.min_by(F.struct(*own), F.struct(F.col("id").isNull(), F.col("id"), *own)).alias("keeper"))
-    keeper = written(keeper.select("keeper.*"), "jaccard")
+    total = max(1, linked.count())
+    first = written(linked.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("members")), "jaccard")
+    led = lookup(linked, first, "root", "members", total).filter("id <=> least")
+    keeper = written(led.groupBy("root").agg(F.min("text_key").alias("text_key"), F.first("least").alias("id")), "jaccard")
+    keeper = keeper.select("text_key", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("~"), F.col("text_key").cast("string"))).alias("mark"))
     gone = written(linked.join(keeper, own, "left_anti").select(own).distinct(), "jaccard")
     twice = written(linked.groupBy(own).count().filter("count > 1").select(own), "jaccard")
     work, columns, (own_id, own_text) = renamed(docs, id_col, text_col)
-    mark = F.coalesce(F.col(own_id).cast("string"), F.concat(F.lit("~"), F.xxhash64(own_text).cast("string")))
-    kept = work.withColumns({"mark": mark, "text_key": F.xxhash64(own_text)}).join(small(gone), own, "left_anti")
+    kept = work.withColumns({"mark": _mark(own_id, own_text), "text_key": F.xxhash64(own_text)}).join(small(gone), own, "left_anti")
     if not twice.isEmpty():
         repeated = small(twice)
         once = kept.join(repeated, own, "left_semi").dropDuplicates(own)
