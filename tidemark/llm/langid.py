@@ -1,9 +1,10 @@
 """Language ID: averaged hashed subword embeddings, a linear softmax, stochastic gradient descent in numpy, calibrated rejection.
 
 Subwords are byte 2-, 3- and 4-grams inside words of letters with a blank on either side, hashed into buckets. A
-document's vector is the mean embedding of all its subwords; unseen subwords have embedding zero, so that a text in
-an unknown script gets an even, low score. Training uses a bounded sample of labelled rows (``per_lang`` rows of each
-language, a stretch of ``stretch`` characters of each); prediction reads whole texts.
+document's vector is the mean embedding of all its subwords; unseen subwords have embedding zero. Besides the languages the softmax has one
+class for what is none of them. Its rows are made of the labelled texts (see :func:`unlike`): letters shuffled, letters exchanged, words reversed, noise,
+and program text; a text in an unseen language looks much like those. Training uses a bounded sample of labelled rows
+(``per_lang`` rows of each language, whole texts, counted into buckets where they lie); prediction reads whole texts.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from ._text import SLICE_BYTES, slices, string_buffers
 
 BITS = 16
 UNKNOWN = "und"
+# Words of programs, for rows that are no language.
+PROGRAM = "def return import class for in if else elif while try except raise self None True False int str len range print public static void new null const let var function this string char double float include struct typedef main println select from where join order by group insert into values".split()
+MARKS = [" ", " ", "(", ") ", " = ", ": ", ".", "_", ";\n", " {\n", "[0] "]
 
 
 @lru_cache(1)
@@ -73,21 +77,75 @@ def subwords(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np
 
 @dataclass
 class Model:
-    """classes; table: each bucket's share of each class's logit, already divided by the temperature; reject: scores below are rejected."""
+    """classes; table: each bucket's share of each class's logit (the last column is for none of them), already divided by the
+    temperature; reject: texts whose best language has a lower score are rejected."""
 
     classes: list[str]
     table: np.ndarray
     reject: float
 
 
-def _bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
-    for text in texts:
-        raw = np.frombuffer(text.encode(errors="replace"), np.uint8)
-        got = np.concatenate([code[ok] for code, ok in subwords(raw, np.array([0, len(raw)]))])
-        bucket, count = np.unique(got, return_counts=True)
-        out.append((bucket, count / max(1, count.sum())))
-    return out
+def unlike(text: str, kind: int, seed: int) -> str:
+    """A text that is in no language, of about the same length: letters shuffled over the text (0), letters exchanged by a random alphabet (1), words
+    reversed (2), random letters of one of several scripts (3), program text (4)."""
+    random = np.random.default_rng(seed)
+    if kind == 0:
+        letters = np.array(list(text.replace(" ", "")) or [" "])
+        out = random.permutation(letters)
+        spaces = random.random(len(out)) < 0.18
+        return "".join(f"{c} " if s else c for c, s in zip(out.tolist(), spaces.tolist(), strict=True))
+    if kind == 1:
+        to = random.permutation(26)
+        table = {97 + k: 97 + int(to[k]) for k in range(26)} | {65 + k: 65 + int(to[k]) for k in range(26)}
+        return text.translate(table)
+    if kind == 2:
+        return " ".join(w[::-1] for w in text.split(" "))
+    if kind == 3:
+        low, high = [(97, 123), (0x430, 0x450), (0x3B1, 0x3CA), (0x5D0, 0x5EB), (0x4E00, 0x9FA5), (0xE0, 0x17F)][int(random.integers(0, 6))]
+        points = random.integers(low, high, len(text))
+        points[random.random(len(text)) < 0.15] = 32
+        return "".join(map(chr, points.tolist()))
+    n = len(text) // 4 + 2
+    letters = "".join(map(chr, random.integers(97, 123, 9 * n).tolist()))
+    known, word, size, mark = random.random(n) < 0.6, random.integers(0, len(PROGRAM), n), random.integers(1, 9, n), random.integers(0, len(MARKS), n)
+    parts = [(PROGRAM[w] if k else letters[9 * at : 9 * at + z]) + MARKS[m] for at, (k, w, z, m) in enumerate(zip(known.tolist(), word.tolist(), size.tolist(), mark.tolist(), strict=True))]
+    return "".join(parts)[: len(text)]
+
+
+KINDS, SHORT = 5, 1 << 14
+
+
+def bag_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's bytes, and the share of its subwords that each has; in stretches, so that a long text takes no more memory."""
+    if len(data) <= SHORT:
+        bucket, count = np.unique(np.concatenate([code[ok] for code, ok in subwords(data, np.array([0, len(data)]))]), return_counts=True)
+        return bucket.astype(np.int64), count / max(1, count.sum())
+    count = np.zeros(1 << BITS, np.int64)
+    for part in _stretches(data, SLICE_BYTES):
+        for code, ok in subwords(part, np.array([0, len(part)])):
+            count += np.bincount(code[ok], minlength=1 << BITS)
+    bucket = np.flatnonzero(count)
+    return bucket, count[bucket] / max(1, count.sum())
+
+
+def _bytes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(errors="replace"), np.uint8)
+
+
+@dataclass
+class Row:
+    """A row to learn from: its bag, its language (None if it was made by :func:`unlike`) and whether it calibrates."""
+
+    bucket: np.ndarray
+    share: np.ndarray
+    lang: str | None
+    calibrates: bool
+
+
+def rows_of(text: str, lang: str, calibrates: bool, seed: int) -> list[Row]:
+    """A labelled text and a text of no language made of it."""
+    made = unlike(text[:LONGEST_UNLIKE], seed % KINDS, seed)
+    return [Row(*bag_of(_bytes_of(t)), label, calibrates) for t, label in ((text, lang), (made, None))]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -95,61 +153,101 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def train(rows: list[tuple[str, str, bool]], dim: int = 16, epochs: int = 5, rate: float = 0.5, seed: int = 1, most_rejected: float = 0.001, low: float = 1.4) -> Model:
-    """Rows are (text, language, whether it calibrates). The temperature gives calibrating rows their best likelihood; ``reject`` is
-    ``low`` times an even score, or less if that would reject more than ``most_rejected`` of the calibrating rows."""
-    classes = sorted({lang for _, lang, _ in rows})
+def threshold_of(own: np.ndarray, other: np.ndarray, error: float) -> float:
+    """The score below which texts are rejected, from calibrating rows' scores (``own``) and those of texts in no language (``other``).
+
+    If a threshold rejects at most ``error`` of the former and accepts at most ``error`` of the latter, the middle (by logit) of all such
+    thresholds; else the one at which the greater of both shares is least.
+    """
+    if not len(own) or not len(other):
+        return 0.0
+    low, high = np.quantile(other, 1 - error), np.quantile(own, error)
+    if low <= high:
+        a, b = (np.log(x / (1 - x)) for x in np.clip([low, high], 1e-9, 1 - 1e-9))
+        return float(1 / (1 + np.exp(-(a + b) / 2)))
+    at = np.unique(np.append(own, other))
+    worst = np.maximum(np.searchsorted(np.sort(own), at) / len(own), 1 - np.searchsorted(np.sort(other), at) / len(other))
+    return float(at[int(np.argmin(worst))])
+
+
+def train(rows: list[Row], dim: int = 8, epochs: int = 3, rate: float = 0.5, seed: int = 1, error: float = 0.005) -> Model:
+    """The temperature gives calibrating rows (a share ``error`` of their labels spread over all classes) their best likelihood; the threshold is that of :func:`threshold_of` for the calibrating rows that have
+    subwords. Without calibrating rows all rows calibrate."""
+    classes = sorted({r.lang for r in rows if r.lang is not None})
     if not classes:
         return Model([], np.zeros((1 << BITS, 0)), 1.0)
     random = np.random.default_rng(seed)
-    number = {c: k for k, c in enumerate(classes)}
-    fit = [r for r in rows if not r[2]] or rows
-    check = [r for r in rows if r[2]] or rows
-    bags, gold = _bags([r[0] for r in fit]), [number[r[1]] for r in fit]
-    embed, weight = np.zeros((1 << BITS, dim)), random.normal(0, 1, (dim, len(classes)))
+    number = {c: k for k, c in enumerate(classes)} | {None: len(classes)}
+    rows = [r for r in rows if len(r.bucket)]
+    fit = [r for r in rows if not r.calibrates] or rows
+    check = [r for r in rows if r.calibrates] or rows
+    embed, weight = np.zeros((1 << BITS, dim), np.float32), random.normal(0, 1, (dim, len(classes) + 1))
     steps, done = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for k in random.permutation(len(fit)):
-            bucket, share = bags[k]
-            if not len(bucket):
-                continue
+            bucket, share = fit[k].bucket, fit[k].share
             now = rate * (1 - done / steps)
             done += 1
             hidden = share @ embed[bucket]
             slope = _softmax(hidden @ weight)
-            slope[gold[k]] -= 1
+            slope[number[fit[k].lang]] -= 1
             back = weight @ slope
             weight -= now * 0.1 * np.outer(hidden, slope)
-            embed[bucket] -= now * 20 * share[:, None] * back
+            embed[bucket] -= (now * 20 * share)[:, None].astype(np.float32) * back.astype(np.float32)
     table = embed @ weight
-    bags, want = _bags([r[0] for r in check]), np.array([number[r[1]] for r in check])
-    logits = np.array([share @ table[bucket] for bucket, share in bags])
+    want = np.array([number[r.lang] for r in check], int)
+    logits = np.array([r.share @ table[r.bucket] for r in check]).reshape(len(check), len(classes) + 1)
     rows_at = np.arange(len(want))
     grid = np.geomspace(0.05, 20, 61)
-    loss = [-np.log(np.maximum(_softmax(logits / t)[rows_at, want], 1e-12)).mean() for t in grid]
+    # Smoothed labels: rows that are all told apart would otherwise ask for ever sharper scores.
+    aim = np.full(logits.shape, error / (len(classes) + 1))
+    aim[rows_at, want] += 1 - error
+    loss = [-(aim * np.log(np.maximum(_softmax(logits / t), 1e-12))).sum() for t in grid]
     heat = float(grid[int(np.argmin(loss))])
-    scores = _softmax(logits / heat).max(1)
-    return Model(classes, table / heat, float(min(low / len(classes), np.quantile(scores, most_rejected))))
+    scores = _softmax(logits / heat)[:, :-1].max(1)
+    made = want == len(classes)
+    return Model(classes, table / heat, threshold_of(scores[~made], scores[made], error))
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Column, calibrates: Column, per_lang: int, stretch: int) -> list[tuple[str, str, bool]]:
-    """About ``per_lang`` usable labelled rows of every language, chosen by a hash of id and text, each a stretch of the text that the hash places."""
+LONGEST_UNLIKE = 1 << 12  # characters of a made text; labelled texts count whole
+BAGS = "bucket binary, share binary, lang string, calibrates boolean"
+
+
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Column, calibrates: Column, per_lang: int) -> list[Row]:
+    """About ``per_lang`` usable labelled rows of every language, chosen by a hash of id and length, and a text of no language made of each.
+
+    Whole texts are counted in the tasks; the driver gets their bags, of at most 2^16 buckets each.
+    """
     mark = F.xxhash64(F.col(id_col).cast("string"), F.length(text_col))
-    span = F.greatest(F.lit(1), F.length(text_col) - stretch + 1)
-    piece = F.substring(F.col(text_col), (F.pmod(mark, span) + 1).cast("int"), F.lit(stretch))
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & usable)
-    counts = dict(rows.groupBy(lang_col).count().collect())
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
+    known = {r.lang: r.n for r in counts.collect()}  # a row for each language
     share = F.lit(0.0)
-    for lang, n in counts.items():
+    for lang, n in known.items():
         share = F.when(F.col(lang_col) == lang, min(1.0, per_lang / n)).otherwise(share)
-    got = rows.filter(F.pmod(F.xxhash64(mark), F.lit(1 << 30)) / (1 << 30) < share).select(piece, lang_col, calibrates)
-    return sorted((t, lang, bool(c)) for t, lang, c in got.collect() if t)
+    chosen = rows.filter(F.pmod(F.xxhash64(mark), F.lit(1 << 30)) / (1 << 30) < share)
+    chosen = chosen.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), calibrates.alias("calibrates"), F.pmod(mark, F.lit(1 << 31)).alias("seed"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, lang, c, seed in zip(*[batch.column(k).to_pylist() for k in ("text", "lang", "calibrates", "seed")], strict=True):
+                made = rows_of(text, lang, c, seed)
+                yield pa.RecordBatch.from_pydict({"bucket": [r.bucket.astype("<u2").tobytes() for r in made], "share": [r.share.astype("<f4").tobytes() for r in made], "lang": pa.array([r.lang for r in made], pa.string()), "calibrates": [r.calibrates for r in made]})
+
+    got = sorted(chosen.mapInArrow(tidy(run), BAGS).collect(), key=lambda r: (r.lang or "", r.calibrates, r.bucket, r.share))
+    return [Row(np.frombuffer(r.bucket, "<u2").astype(np.int64), np.frombuffer(r.share, "<f4").astype(float), r.lang, r.calibrates) for r in got]
+
 
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = 400, error: float = 0.005) -> Model:
+    """Trains on folds 2 to ``folds - 1`` of crc32(id as text), calibrates on fold 1, leaves fold 0 out. ``error`` is the share of texts in a known
+    language that may be rejected and of texts in none that may be accepted, as measured on fold 1.
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = 600, stretch: int = 2000) -> Model:
-    """Trains on folds 2 to ``folds - 1`` of crc32(id as text), calibrates on fold 1, leaves fold 0 out."""
+    Rows with a null id, text or language aren't learned from, nor are texts without a letter; repeated rows count each; very long texts count whole.
+    Without a row to learn from the model has no class and rejects all.
+    """
+    bounded_batches(docs.sparkSession)
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
-    return train(sample(docs, id_col, text_col, lang_col, fold != 0, fold == 1, per_lang, stretch))
+    return train(sample(docs, id_col, text_col, lang_col, fold != 0, fold == 1, per_lang), error=error)
 
 
 def _stretches(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
@@ -166,8 +264,8 @@ def _stretches(data: np.ndarray, limit: int) -> Iterator[np.ndarray]:
 
 
 def _score(model: Model, data: np.ndarray, offsets: np.ndarray, limit: int = SLICE_BYTES) -> np.ndarray:
-    """Every row's probabilities. Stretches of a long row are summed one after the other."""
-    n, k = len(offsets) - 1, len(model.classes)
+    """Every row's probabilities of the classes, and of none of them. Stretches of a long row are summed one after the other."""
+    n, k = len(offsets) - 1, model.table.shape[1]
     if n > 1 or offsets[-1] <= limit:
         total, count = _sums(model, data, offsets)
     else:
@@ -179,7 +277,7 @@ def _score(model: Model, data: np.ndarray, offsets: np.ndarray, limit: int = SLI
 
 
 def _sums(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n, k = len(offsets) - 1, len(model.classes)
+    n, k = len(offsets) - 1, model.table.shape[1]
     at = offsets[:-1] + 2 * np.arange(n)
     total, count = np.zeros((n, k)), np.zeros(n)
     for bucket, ok in subwords(data, offsets):
@@ -192,8 +290,10 @@ def _sums(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns of these names are replaced.
 
-    A null text or one without a letter is ``und`` with score 0 and rejected, as is every text if nothing was learned. A text whose score is
-    below the model's ``reject`` keeps its best language and is rejected. Equal texts get equal results.
+    ``score`` is the best language's probability, beside all others and none of them. A null or empty text or one without a letter is ``und`` with
+    score 0 and rejected, as is every text if nothing was learned. A text whose score is below the model's ``reject`` keeps its best language and is
+    rejected. Equal texts get equal results, repeated rows one each; ties go to the first language by name. Very long texts count whole, in
+    stretches. Other columns are kept; an empty table stays one.
     """
     bounded_batches(docs.sparkSession)
     df = docs.drop("lang_pred", "score", "rejected")
@@ -206,7 +306,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
 
 def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs``, with all its columns, without the rows that the model rejects."""
+    """``docs``, with all its columns, without the rows that the model rejects: null, empty and letterless texts are among those. See :func:`predict`."""
     work, columns, (text,) = renamed(docs, text_col)
     return predict(work, model, text).filter("NOT rejected").select(columns).toDF(*docs.columns)
 
@@ -219,7 +319,7 @@ def _predictor(model: Model, text_col: str, schema: pa.Schema) -> Callable[[Iter
         for whole in batches:
             for at, to in slices(whole.column(text_col)):
                 batch = whole.slice(at, to - at)
-                p = _score(model, *string_buffers(batch.column(text_col)))
+                p = _score(model, *string_buffers(batch.column(text_col)))[:, :-1]
                 new = {"lang_pred": pa.array(names[p.argmax(1)], pa.string()), "score": pa.array(np.round(p.max(1), 6))}
                 yield pa.RecordBatch.from_arrays([new[f.name] if f.name in new else batch.column(f.name).cast(f.type) for f in schema], schema=schema)
 
