@@ -76,3 +76,31 @@ def test_hash_collisions_are_verified(spark, monkeypatch):
 
 
 WINDOWS = D.windows
+
+
+@pytest.mark.parametrize("share, cut", [(0.65, 0.65), (0.05, 0.05), (1, 1.0), (0.333, 0.333), (0.5, 0.5)])
+def test_shares_are_exact(spark, share, cut):
+    """Documents of 1000 words whose hit words are just below, at and above the share."""
+    item = " ".join(f"w{k}" for k in range(1000))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    at = round(1000 * cut)
+    rows = [(n, " ".join([f"w{k}" for k in range(n)] + ["q"] * (1000 - n))) for n in {max(13, at - 1), at, min(1000, at + 1)}]
+    got = D.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), bench, least_share=share).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {n: n >= at for n, _ in rows}
+    assert all(r.n_hit == r.doc_id for r in got)
+
+
+def test_the_same_window_of_many_items_is_stored_once():
+    text = " ".join(f"w{k}" for k in range(40))
+    index = D.build_index([(str(k), text) for k in range(50)])
+    (s,) = index.sets
+    assert len(s.hashes) == 28 and len(s.items) == 28 * 50
+    again = D.pickle.loads(D.pickle.dumps(index, protocol=5))
+    w = D.words(*D.string_buffers(D.pa.array([text])))
+    assert D._hits(w, again)[1].tolist() == [[0, k] for k in range(50)]
+
+
+def test_index_is_not_much_larger_than_its_text():
+    random = np.random.default_rng(3)
+    text = " ".join(f"{x:x}" for x in random.integers(0, 1 << 20, 100_000))
+    assert len(D.pickle.dumps(D.build_index([("1", text)]), protocol=5)) < 6 * len(text)
