@@ -1,4 +1,9 @@
-"""Licence wordings that the scan knows: whole texts and notices as published, and one-line references made by a rule."""
+"""Licence wordings that the scan knows: whole texts and notices as published, and one-line references made by a rule.
+
+Long texts lie in ``license_files``, as published, a file for each licence.
+"""
+
+from importlib import resources
 
 # Published licence texts and notices, without copyright lines.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -64,9 +69,18 @@ NAMES = {
 }
 
 
+# The licences whose long texts lie in files.
+FILES = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+
+
+def long_text(name: str) -> str:
+    return (resources.files(__package__) / "license_files" / f"{name}.txt").read_text(encoding="utf-8")
+
+
 def templates() -> list[tuple[str, str]]:
-    """(licence, wording) of all whole texts, then of all one-line references."""
+    """(licence, wording) of all whole texts and notices, then of all one-line references, then of all long texts."""
     out = [(k, t) for k, texts in FULL.items() for t in texts]
     out += [(k, f"licensed under {'the ' if 'License' in n else ''}{n}") for k, names in NAMES.items() for n in names]
     out += [(k, f"released under {'the ' if 'License' in n else ''}{n}") for k, names in NAMES.items() for n in names]
-    return out + [(k, f"SPDX-License-Identifier: {k}") for k in NAMES]
+    out += [(k, f"SPDX-License-Identifier: {k}") for k in NAMES]
+    return out + [(k, long_text(k)) for k in FILES]
