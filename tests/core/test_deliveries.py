@@ -80,8 +80,8 @@ def test_daily_build(spark, raw, tmp_path):
     tables = jobs.Lake(f"file://{tmp_path}/lake")
     stats = jobs.build_daily(spark, paths, tables, most_unexpected=0.5)
     reasons = dict.fromkeys(["non_numeric_nav", "malformed_line", "negative_nav", "bad_date", "zero_nav", "date_outside_requested_window"], 1)
-    assert {k: stats[k] for k in ("input_rows", "silver_rows", "duplicates_dropped", "conflicting_duplicates", "quarantined_rows")} == {"input_rows": 15, "silver_rows": 7, "duplicates_dropped": 2, "conflicting_duplicates": 1, "quarantined_rows": 6}
-    assert stats["quarantined_by_reason"] == reasons and stats["unexpected_quarantine_ratio"] == round(5 / 15, 6)
+    assert {k: stats[k] for k in ("read", "kept", "superseded", "contradicted_keys", "quarantined")} == {"read": 15, "kept": 7, "superseded": 2, "contradicted_keys": 1, "quarantined": 6}
+    assert stats["quarantined_for"] == reasons and stats["unexpected_share"] == round(5 / 15, 6)
     daily = spark.read.parquet(tables.daily)
     assert dict(daily.dtypes)["nav"] == "decimal(20,6)"
     newest = daily.filter("scheme_code = 201 AND nav_date = '2026-09-02'").collect()
@@ -175,3 +175,72 @@ def test_upsert_keeps_vanished_keys(spark, tmp_path):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
     assert sorted(tuple(r) for r in sinks.upserted(old, new, "k").collect()) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_section_lines(spark):
+    lines = {
+        "Open Ended Schemes ( Income )": ("Open Ended Schemes", "Income"),
+        "Interval Scheme(Debt (PSU) Fund)": ("Interval Scheme", "Debt (PSU) Fund"),
+        "Some House (Schemes)": None,
+        "A Schemes of B ( X Scheme ( Y ) )": ("A Schemes of B ( X Scheme", "Y )"),
+        "Close Ended Schemes ( Growth": None,
+        "Schemes Schemes  (  )": ("Schemes Schemes", ""),
+        "Ours(a) Schemes(b)": ("Ours(a) Schemes", "b"),
+        "House (Pvt) Ltd": None,
+        "schemes ( lower )": None,
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: r.s and tuple(r.s) for r in df.select("line", header_text.section_of(F.col("line")).alias("s")).collect()}
+    assert got == lines
+
+
+def test_published_snapshots_replace_one_another(spark, tmp_path):
+    folder = f"file://{tmp_path}/published"
+    assert sinks.current(spark, folder) is None
+    with pytest.raises(FileNotFoundError):
+        sinks.snapshot(spark, folder)
+    first = sinks.publish(spark, folder, spark.range(3).toDF("k"))
+    reader = sinks.snapshot(spark, folder)
+    second = sinks.publish(spark, folder, spark.range(5).toDF("k"))
+    assert sinks.current(spark, folder) == second > first
+    assert (reader.count(), sinks.snapshot(spark, folder).count()) == (3, 5)
+    with pytest.raises(Exception, match="no such column|UNRESOLVED|raised"):
+        sinks.publish(spark, folder, spark.range(2).selectExpr("raise_error('raised') AS k"))
+    assert sinks.snapshot(spark, folder).count() == 5  # a write that fails changes nothing
+    sinks.publish(spark, folder, spark.range(6).toDF("k"))
+    assert len([p for p in (tmp_path / "published").iterdir() if p.is_dir()]) == 2
+
+
+def test_a_registry_run_that_is_cut_off_forgets_nothing(spark, tmp_path, monkeypatch):
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    schema = "scheme_code int, scheme_name string, scheme_type string, category string, fund_house string, isin_growth string, isin_reinvest string, first_seen date, last_seen date, nav_rows long"
+    day = date(2026, 9, 1)
+    sinks.write_table(spark.createDataFrame([(k, "N", "T", "C", "H", None, None, day, day, 1) for k in (1, 2)], schema), tables.versions)
+    assert jobs.build_registry(spark, tables)["documents"] == 2
+    sinks.write_table(spark.createDataFrame([(3, "N", "T", "C", "H", None, None, day, day, 1)], schema), tables.versions)
+
+    def cut_off(*_):
+        raise OSError("cut off")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(sinks, "replaced", cut_off)
+        jobs.build_registry(spark, tables)
+    assert {r.scheme_code for r in sinks.snapshot(spark, tables.registry).collect()} == {1, 2}
+    assert jobs.build_registry(spark, tables)["documents"] == 3
+    assert {r.scheme_code for r in sinks.snapshot(spark, tables.schemes).collect()} == {1, 2, 3}
+
+
+def test_tables_of_the_lake_have_names():
+    with pytest.raises(AttributeError):
+        jobs.Lake("/x").dialy
+
+
+def test_warehouse_tables_are_loaded_over_jdbc(spark, tmp_path):
+    tables = jobs.Lake(f"file://{tmp_path}/lake")
+    url = f"jdbc:derby:{tmp_path}/warehouse;create=true"
+    for n in (5, 3):
+        sinks.write_table(spark.range(n).toDF("scheme_code"), tables.metrics)
+        sinks.write_table(spark.range(n + 1).toDF("scheme_code"), tables.jumps)
+        stats = jobs.load_warehouse(spark, tables, url)
+        assert (stats["fund_metrics"], stats["dq_nav_jumps"]) == (n, n + 1)
+        assert spark.read.format("jdbc").options(url=url, dbtable="fund_metrics").load().count() == n

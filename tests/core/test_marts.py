@@ -1,11 +1,12 @@
 import json
 import urllib.error
 import urllib.request
-from datetime import date
+from datetime import UTC, date, datetime
 from threading import Thread
 
 import pytest
 from tidemark.functions import dates
+from tidemark.operators import rules
 from tidemark.plans import jobs, marts, serving
 from tidemark.plans.http_api import serve
 
@@ -85,14 +86,14 @@ def test_monthly_and_dashboards(spark, tables):
 def service(spark, tables):
     metrics, reg, _, card = tables
     registry = reg.withColumn("updated_at", reg.last_nav_date)
-    return serving.Service(card.cache(), marts.monthly(metrics), marts.category_summary(card), registry)
+    return serving.Service(serving.Tables(card.cache(), marts.monthly(metrics), marts.category_summary(card), registry))
 
 
 def test_lists_filter_and_sort(tables):
     card = tables[3]
     codes = lambda **q: [r.scheme_code for r in serving.list_funds(card, **q).collect()]
     assert codes() == [5, 2, 3, 1, 4] and codes(plan="Regular") == [5] and codes(sort_by="cagr_3y", limit=2) == [4, 1] and codes(fund_house="I") == [2]
-    for bad in ({"sort_by": "nav; drop"}, {"limit": 0}, {"limit": 201}, {"plan": "Other"}):
+    for bad in ({"sort_by": "fund_house"}, {"sort_by": ""}, {"limit": -4}, {"limit": 1000}, {"plan": "direct"}):
         with pytest.raises(serving.RequestError):
             serving.list_funds(card, **bad)
 
@@ -101,11 +102,11 @@ def test_cache_hits_until_the_snapshot_changes():
     now, loads = [0.0], []
     cache = serving.ResultCache(10, lambda: now[0])
     load = lambda: loads.append(1) or [None]
-    assert [cache.get_or_load(("a",), load)[1] for _ in range(2)] == [False, True]
+    assert [cache.served("a", make=load) for _ in range(2)] == [([None], False), ([None], True)]
     cache.bump()
-    assert cache.get_or_load(("a",), load)[1] is False
+    assert not cache.served("a", make=load).kept
     now[0] = 11
-    assert cache.get_or_load(("a",), load)[1] is False and len(loads) == 3
+    assert not cache.served("a", make=load).kept and len(loads) == 3
 
 
 def test_http(service):
@@ -148,5 +149,46 @@ def test_all_stages(spark, tmp_path):
     where = jobs.Lake(f"file://{tmp_path}/lake")
     for _ in range(2):  # a second run changes nothing
         stats = jobs.run_all(spark, where, paths, benchmark_code=201, today=date(2026, 9, 5), most_unexpected=0.5)
-        assert stats["daily"]["silver_rows"] == 7 and stats["metrics"]["schemes"] == 4 and stats["registry"]["documents"] == 4
+        assert stats["daily"]["kept"] == 7 and stats["metrics"]["keys"] == 4 and stats["registry"]["documents"] == 4
         assert spark.table("mart_fund_scorecard").count() == stats["marts"]["mart_fund_scorecard"] == 2
+        assert spark.table("stg_schemes").count() == stats["marts"]["dim_scheme"] == 4
+
+
+def test_a_running_service_turns_to_new_marts(spark, tmp_path):
+    from test_deliveries import FIRST, SECOND, WINDOWS
+    from tidemark.sources import header_text, lake
+
+    bodies = {w: t for (w, _), t in zip(WINDOWS, (FIRST, SECOND), strict=True)}
+    paths = lake.land(spark, f"file://{tmp_path}/raw", lambda s, e: bodies[s, e].encode(), list(bodies), header_text.HEADER, sleep=lambda _: None)
+    where = jobs.Lake(f"file://{tmp_path}/lake")
+    jobs.run_all(spark, where, paths, benchmark_code=201, most_unexpected=0.5)
+    running = jobs.service(spark, where)
+    assert [running.funds(limit=5).kept for _ in range(2)] == [False, True]
+    stats = jobs.build_marts(spark, where, 203, active_days=0)
+    answer = running.funds(limit=5)
+    assert not answer.kept and [r["scheme_code"] for r in answer.body] == [201, 203] and running.seen == stats["version"]
+    assert running.funds(limit=5).kept
+    assert serving.query(spark, "SELECT scheme_code FROM stg_schemes WHERE scheme_code >= :least ORDER BY 1", least=203) == [{"scheme_code": 203}, {"scheme_code": 204}, {"scheme_code": 205}]
+
+
+def body_of(start, end):
+    rows = [f"{code};Fund {code} - Growth;;;X{code};;{10 + day % 7}.5;{day:02d}-{start:%b-%Y}" for code in (301, 302) for day in range(start.day, end.day + 1)]
+    return "\n".join(["Scheme Code;a;b;c;d;e;f;g", "Open Ended Schemes ( Debt Scheme - Gilt )", "House", *rows]).encode()
+
+
+def test_backfill_and_daily_run(spark, tmp_path):
+    where, quiet = jobs.Lake(f"file://{tmp_path}/lake"), {"sleep": lambda _: None}
+    stats = jobs.run_backfill(spark, where, body_of, date(2025, 12, 30), date(2026, 2, 10), 301, fetch=quiet)
+    assert [d["read"] for d in stats["daily"]] == [4, 2 * 41] and stats["metrics"]["keys"] == 2
+    late = datetime(2026, 2, 11, 20, 0, tzinfo=UTC)  # already the 12th where the publisher is
+    stats = jobs.run_daily(spark, where, body_of, late, 301, fetch=quiet)
+    assert stats["ingest"]["months"] == ["2026-02"] and stats["metrics"]["newest"] == date(2026, 2, 12)
+    daily = spark.read.parquet(where.daily)
+    assert daily.agg({"nav_date": "max"}).first()[0] == date(2026, 2, 12) and daily.count() == 2 * 45
+    with pytest.raises(rules.GateError):
+        jobs.build_metrics(spark, where, today=date(2026, 3, 1))
+
+
+def test_days_of_the_publisher():
+    assert dates.daily_window(datetime(2026, 9, 10, 18, 31)) == (date(2026, 9, 6), date(2026, 9, 11))
+    assert dates.daily_window(datetime(2026, 9, 10, 18, 29, tzinfo=UTC)) == (date(2026, 9, 5), date(2026, 9, 10))

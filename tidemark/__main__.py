@@ -7,14 +7,13 @@ import json
 import urllib.parse
 import urllib.request
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
 
-from .functions import dates
 from .operators.risk import RiskRules
-from .plans import jobs, serving
+from .plans import jobs
 from .plans.http_api import serve
 from .session import build_session
-from .sources import header_text, lake
+from .sources import lake
 
 
 def http_fetcher(template: str, timeout: float = 120) -> Callable[[date, date], bytes]:
@@ -49,13 +48,23 @@ def arguments() -> argparse.ArgumentParser:
     s.add_argument("--risk-free-rate", type=float, default=RiskRules.risk_free_rate)
     s.add_argument("--today", type=date.fromisoformat, help="checks that the newest row is fresh")
     stage("registry", "registry documents and rows")
-    for name, about in (("marts", "tables for analysts"), ("serve", "answer requests over HTTP")):
+    s = stage("warehouse", "load metrics and jumps over JDBC")
+    s.add_argument("--jdbc-url", required=True)
+    for name, about in (("marts", "tables for analysts"), ("run", "fetch the last days and build all"), ("backfill", "fetch years and build all")):
         s = stage(name, about)
         s.add_argument("--benchmark", type=int, required=True)
         s.add_argument("--active-days", type=int, default=7)
-        if name == "serve":
-            s.add_argument("--host", default="127.0.0.1")
-            s.add_argument("--port", type=int, default=8000)
+        if name != "marts":
+            s.add_argument("--url", required=True, help="with {start} and {end}")
+            s.add_argument("--jdbc-url")
+        if name == "run":
+            s.add_argument("--now", type=datetime.fromisoformat, default=None, help="a moment, UTC if it has no zone")
+        if name == "backfill":
+            s.add_argument("--start", type=date.fromisoformat, required=True)
+            s.add_argument("--end", type=date.fromisoformat, required=True)
+    s = stage("serve", "answer requests over HTTP")
+    s.add_argument("--host", default="127.0.0.1")
+    s.add_argument("--port", type=int, default=8000)
     return parser
 
 
@@ -63,23 +72,28 @@ def main(argv: list[str] | None = None) -> dict:
     args = arguments().parse_args(argv)
     spark = build_session(f"tidemark-{args.stage}")
     tables = jobs.Lake(args.lake)
-    if args.stage == "ingest":
-        windows = [tuple(r) for r in dates.month_windows(spark, dates.clamped(args.start, args.earliest), args.end).collect()]
-        paths = lake.land(spark, tables.raw, http_fetcher(args.url), windows, header_text.HEADER)
-        files = header_text.data_lines(header_text.read_files(spark, paths))
-        stats = {"files": paths, "periods": sorted({f"{s:%Y-%m}" for s, _ in windows}), "rows": sum(r["rows"] for r in files.collect())}
-    elif args.stage == "daily":
-        periods = [p.strip() for p in args.periods.split(",") if p.strip()]
-        stats = jobs.build_daily(spark, lake.period_paths(spark, tables.raw, periods), tables, args.most_unexpected)
-    elif args.stage == "metrics":
-        stats = jobs.build_metrics(spark, tables, RiskRules(risk_free_rate=args.risk_free_rate), args.today)
-    elif args.stage == "registry":
-        stats = jobs.build_registry(spark, tables)
-    else:
-        stats = jobs.build_marts(spark, tables, args.benchmark, args.active_days)
-        if args.stage == "serve":
-            card, facts, summary = (spark.table(t).cache() for t in ("mart_fund_scorecard", "fct_fund_metrics_monthly", "mart_category_summary"))
-            serve(serving.Service(card, facts, summary, spark.read.parquet(tables.registry)), args.host, args.port).serve_forever()
+    rest = {"active_days": args.active_days, "jdbc_url": args.jdbc_url} if args.stage in ("run", "backfill") else {}
+    match args.stage:
+        case "ingest":
+            stats = jobs.ingest(spark, tables, http_fetcher(args.url), args.start, args.end, args.earliest)
+        case "daily":
+            periods = [p.strip() for p in args.periods.split(",") if p.strip()]
+            stats = jobs.build_daily(spark, lake.period_paths(spark, tables.raw, periods), tables, args.most_unexpected)
+        case "metrics":
+            stats = jobs.build_metrics(spark, tables, RiskRules(risk_free_rate=args.risk_free_rate), args.today)
+        case "registry":
+            stats = jobs.build_registry(spark, tables)
+        case "warehouse":
+            stats = jobs.load_warehouse(spark, tables, args.jdbc_url)
+        case "marts":
+            stats = jobs.build_marts(spark, tables, args.benchmark, args.active_days)
+        case "run":
+            stats = jobs.run_daily(spark, tables, http_fetcher(args.url), args.now or datetime.now(UTC), args.benchmark, **rest)
+        case "backfill":
+            stats = jobs.run_backfill(spark, tables, http_fetcher(args.url), args.start, args.end, args.benchmark, **rest)
+        case "serve":
+            stats = {"host": args.host, "port": args.port}
+            serve(jobs.service(spark, tables), args.host, args.port).serve_forever()
     print(json.dumps(stats, default=str))
     return stats
 

@@ -137,25 +137,30 @@ def conflicting_keys(spark, sf_dir):
 
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS period, count(*) AS rows FROM orders GROUP BY 1")
 def month_period_counts(spark, sf_dir):
-    return table(spark, sf_dir, "orders").groupBy(dates.period_of(F.col("o_orderdate")).alias("period")).agg(F.count("*").alias("rows"))
+    return dates.period_counts(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
 # --- text ---------------------------------------------------------------------------------------------------------
 
-SAMPLE = "Scheme Code;NAV Name;Plan;Option;A;B;Net Asset Value;Date\n\nOpen Ended Schemes ( Equity Scheme - Large Cap Fund )\n\nFirst  House\n101;Alpha  Fund - Direct;;;INA; - ;10.5;01-Sep-2026\n102;Beta Fund;;;-;INB;N.A.;01-Sep-2026\n103;short;row\nInterval Fund Schemes(Income)\n104;Gamma Fund;;;INC;;-1;02-Sep-2026\nSecond House\n105;Delta Fund;;;;;7;31-Feb-2026\n"
-PARSED = [("101", "Alpha Fund - Direct", "INA", None, "10.5", "01-Sep-2026", "Open Ended Schemes", "Equity Scheme - Large Cap Fund", "First House", 6, None), ("102", "Beta Fund", None, "INB", "N.A.", "01-Sep-2026", "Open Ended Schemes", "Equity Scheme - Large Cap Fund", "First House", 7, None), ("103", "103;short;row", None, None, "", "", "Open Ended Schemes", "Equity Scheme - Large Cap Fund", "First House", 8, "expected 8 fields, got 3"), ("104", "Gamma Fund", "INC", None, "-1", "02-Sep-2026", "Interval Fund Schemes", "Income", None, 10, None), ("105", "Delta Fund", None, None, "7", "31-Feb-2026", "Interval Fund Schemes", "Income", "Second House", 12, None)]
+PARTS = r"""p AS (SELECT *, row_number() OVER w AS k, CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS is_section, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS is_house,
+p_type || ' (No. ' || CAST(p_partkey % 10 AS VARCHAR) || ')' AS sect FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)),
+n AS (SELECT *, CAST(2 + k + sum(is_section + is_house) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS INTEGER) AS line_no,
+last_value(CASE WHEN is_section = 1 THEN sect END IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS category,
+last_value(CASE WHEN is_house = 1 THEN 'House of ' || CAST(p_size AS VARCHAR) WHEN is_section = 1 THEN '' END IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS house FROM p)"""
+PART_NAME = "regexp_replace(trim(p_name), '\\s+', ' ', 'g')"
 
 
-def _sql_rows(rows: list[tuple], names: list[str]) -> str:
-    def cell(x):
-        return "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
-
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS v({', '.join(names)})"
+@query(f"""WITH {PARTS} SELECT p_brand AS source_file, CAST(p_partkey AS VARCHAR) AS scheme_code,
+CASE WHEN p_partkey % 7 = 0 THEN CAST(p_partkey AS VARCHAR) || '; ' || replace(p_name, ' ', '  ') || ';;;' || CASE WHEN p_partkey % 4 = 0 THEN '-' ELSE 'IN' || CAST(p_partkey AS VARCHAR) END || '; ;' || CAST(p_size AS VARCHAR) ELSE {PART_NAME} END AS scheme_name,
+CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 4 <> 0 THEN 'IN' || CAST(p_partkey AS VARCHAR) END AS isin_growth, CAST(NULL AS VARCHAR) AS isin_reinvest, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END AS nav, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '01-Sep-2026' END AS nav_date,
+CASE WHEN category IS NOT NULL THEN 'Open Ended Schemes' END AS scheme_type, category, nullif(house, '') AS fund_house, line_no, CASE WHEN p_partkey % 7 = 0 THEN 'expected 8 fields, got 7' END AS parse_error FROM n""")
+def parse_text(spark, sf_dir):
+    return header_text.parse(standins.part_files(spark, sf_dir))
 
 
-@query(_sql_rows(PARSED, header_text.COLUMNS[1:]))
-def parse_text(spark, sf_dir):
-    return header_text.parse(spark.createDataFrame([("f", SAMPLE)], "source_file string, text string")).drop("source_file")
+@query(f"WITH {PARTS} SELECT p_brand AS source_file, count(*) AS rows FROM n GROUP BY 1")
+def delivery_lines(spark, sf_dir):
+    return header_text.data_lines(standins.part_files(spark, sf_dir))
 
 
 @query("""WITH m AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'user' THEN 1 ELSE 0 END AS u FROM conversations),
@@ -163,7 +168,7 @@ g AS (SELECT *, sum(u) OVER (PARTITION BY conv_id ORDER BY turn) AS grp FROM m)
 SELECT conv_id, turn, role, max(CASE WHEN u = 1 THEN length(text) END) OVER (PARTITION BY conv_id, grp) AS question_chars FROM g""")
 def header_forward_fill(spark, sf_dir):
     order = Window.partitionBy("conv_id").orderBy("turn")
-    asked = F.last(F.when(F.col("role") == "user", F.length("text")), ignorenulls=True).over(order)
+    asked = series.carried(F.when(F.col("role") == "user", F.length("text")), order)
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", asked.cast("bigint").alias("question_chars"))
 
 
@@ -177,7 +182,7 @@ def header_reset_fill(spark, sf_dir):
     kind = F.length("line") % 7
     mark = F.when(kind == 0, F.struct(F.lit(None).cast("int").alias("n"))).when(kind == 3, F.struct(F.length("line").alias("n")))
     order = Window.partitionBy("doc_id").orderBy("at")
-    return lines.select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), F.last(mark, ignorenulls=True).over(order)["n"].cast("bigint").alias("house_chars"))
+    return lines.select("doc_id", (F.col("at") + 1).cast("bigint").alias("line_no"), series.carried(mark, order)["n"].cast("bigint").alias("house_chars"))
 
 
 @query("SELECT p_partkey, regexp_replace(trim(p_name), '\\s+', ' ', 'g') AS squashed, nullif(trim(split_part(p_type, ' ', 1)), '') AS first_word, CASE WHEN trim(p_brand) NOT IN ('', '-') THEN trim(p_brand) END AS brand, replace(p_type, ' ', '_') AS joined FROM part")
@@ -243,18 +248,17 @@ def attribute_versions(spark, sf_dir):
     return event_versions(spark, sf_dir)
 
 
-@query(f"WITH {VERSIONS} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY first_seen, last_seen, event_type) - 1 AS INTEGER) AS place, event_type, first_seen, last_seen, nav_rows FROM v")
+@query(f"WITH {VERSIONS} SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY first_seen, last_seen, event_type) - 1 AS INTEGER) AS place, event_type, first_seen, last_seen, nav_rows, first_value(event_type) OVER (PARTITION BY user_id ORDER BY last_seen DESC, first_seen DESC, event_type DESC) AS current_type, CAST(count(*) OVER (PARTITION BY user_id) - 1 AS INTEGER) AS name_changes FROM v")
 def registry_docs(spark, sf_dir):
     docs = versions.registry_documents(event_versions(spark, sf_dir), "user_id", ["event_type"])
-    return docs.select("user_id", F.posexplode("history").alias("place", "h")).select("user_id", "place", "h.*")
+    entries = docs.select("user_id", "current", "name_changes", F.posexplode("history").alias("place", "h"))
+    return entries.select("user_id", "place", "h.*", F.col("current.event_type").alias("current_type"), "name_changes")
 
 
 @query(f"WITH {VERSIONS} SELECT user_id, arg_max(event_type, (last_seen, first_seen, event_type)) AS event_type, min(first_seen) AS first_nav_date, max(last_seen) AS last_nav_date, CAST(count(DISTINCT event_type) - 1 AS INTEGER) AS name_changes FROM v GROUP BY 1")
 def registry_flat(spark, sf_dir):
-    found = event_versions(spark, sf_dir)
-    flat = versions.registry_rows(versions.registry_documents(found, "user_id", ["event_type"]), "user_id").drop("event_type")
-    newest = found.groupBy("user_id").agg(F.max_by("event_type", F.struct("last_seen", "first_seen", "event_type")).alias("event_type"))
-    return flat.join(newest, "user_id")
+    docs = versions.registry_documents(event_versions(spark, sf_dir), "user_id", ["event_type"])
+    return versions.registry_rows(docs, "user_id")
 
 
 # --- marts --------------------------------------------------------------------------------------------------------
@@ -274,8 +278,7 @@ def dim_scheme(spark, sf_dir):
 @query("WITH c AS (SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS last_day FROM orders GROUP BY 1) SELECT o_custkey, last_day, last_day >= (SELECT max(last_day) FROM c) - 7 AS is_active FROM c")
 def active_flag(spark, sf_dir):
     last = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max(F.col("o_orderdate").cast("date")).alias("last_day"))
-    newest = last.agg(F.max("last_day").alias("newest"))
-    return last.crossJoin(F.broadcast(newest)).select("o_custkey", "last_day", (F.col("last_day") >= F.date_sub("newest", 7)).alias("is_active"))
+    return marts.with_active(last, "last_day", 7)
 
 
 @query(f"WITH {CARD_SQL} {CARD_OUT} card")
@@ -400,9 +403,14 @@ def expect_sign(spark, sf_dir):
     return expectations.non_negative(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_acctbal")
 
 
-@query(f"WITH {METRICS_SQL} SELECT scheme_code, as_of_date, max_drawdown_1y FROM metrics WHERE max_drawdown_1y > 0")
+@query(f"WITH {METRICS_SQL} SELECT scheme_code, as_of_date, round(ret_1m, 9) AS ret_1m FROM metrics WHERE ret_1m > 0")
 def expect_non_positive(spark, sf_dir):
-    return expectations.non_positive(metrics(spark, sf_dir).select("scheme_code", "as_of_date", "max_drawdown_1y"), "max_drawdown_1y")
+    return rounded(expectations.non_positive(metrics(spark, sf_dir).select("scheme_code", "as_of_date", "ret_1m"), "ret_1m"))
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
+def expect_no_credit(spark, sf_dir):
+    return expectations.non_positive(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), "c_acctbal")
 
 
 @query("SELECT l_orderkey AS scheme_code, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) <> 1")
@@ -461,10 +469,18 @@ def partition_overwrite_roundtrip(spark, sf_dir):
     return spark.read.schema(orders.schema).parquet(path)
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+@query("WITH n AS (SELECT 2 * c_custkey AS c_custkey, c_acctbal + 1 AS c_acctbal FROM customer) SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM n) UNION ALL SELECT * FROM n")
 def upsert_snapshot(spark, sf_dir):
+    """All customers, and as changes all of them under twice their key: some keys are replaced, the others new."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return sinks.upserted(rows.filter("c_custkey % 2 = 0"), rows.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1), "c_custkey")
+    return sinks.upserted(rows, rows.select((2 * F.col("c_custkey")).alias("c_custkey"), (F.col("c_acctbal") + 1).alias("c_acctbal")), "c_custkey")
+
+
+@query(f"WITH {CARD_SQL} {CARD_OUT} (SELECT * FROM card WHERE plan = 'Regular' AND ret_1y >= 0.0 ORDER BY ret_1y DESC NULLS LAST, scheme_code LIMIT 7)")
+def parametrised_sql(spark, sf_dir):
+    rounded(card(spark, sf_dir)).createOrReplaceTempView("mart_fund_scorecard_now")
+    text = "SELECT * FROM mart_fund_scorecard_now WHERE plan = :plan AND ret_1y >= :least ORDER BY ret_1y DESC NULLS LAST, scheme_code LIMIT :n"
+    return spark.sql(text, args={"plan": "Regular", "least": 0.0, "n": 7})
 
 
 @query(f"WITH {NAV} SELECT scheme_code, count(*) AS days, max(nav) AS top FROM nav GROUP BY 1")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +29,15 @@ def year_chunks(spark: SparkSession, start: date, end: date) -> DataFrame:
     return _pieces(spark, start, end, "YYYY", "year", F.date_sub(F.add_months("p", 12), 1))
 
 
-def daily_window(end: date, days: int = 5) -> tuple[date, date]:
-    """The window that a daily run fetches again: ``days`` before ``end`` up to ``end``."""
-    return end - timedelta(days=days), end
+def local_day(moment: datetime, zone: str = "Asia/Kolkata") -> date:
+    """The date of a moment where the publisher is; a moment without a zone is in UTC."""
+    return (moment if moment.tzinfo else moment.replace(tzinfo=UTC)).astimezone(ZoneInfo(zone)).date()
+
+
+def daily_window(end: date | datetime, days: int = 5, zone: str = "Asia/Kolkata") -> tuple[date, date]:
+    """The window that a daily run fetches again: ``days`` before ``end`` up to ``end`` (a day, or a moment whose day in ``zone`` counts)."""
+    last = local_day(end, zone) if isinstance(end, datetime) else end
+    return last - timedelta(days=days), last
 
 
 def clamped(start: date, earliest: date) -> date:
@@ -41,5 +48,10 @@ def period_of(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
+def period_counts(df: DataFrame, day: str) -> DataFrame:
+    """How many rows each month has."""
+    return df.groupBy(period_of(F.col(day)).alias("period")).agg(F.count("*").alias("rows"))
+
+
 def epoch_seconds(day: Column) -> Column:
     return F.unix_timestamp(day.cast("timestamp"))

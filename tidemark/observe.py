@@ -7,16 +7,16 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 log = logging.getLogger("tidemark")
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` that counts its rows while another action runs over it."""
+def counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows, and whatever else is asked, while another action runs over it."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]), seen
 
 
 def report(stage: str, stats: dict, started: float, push: Callable[[str, dict], None] | None = None) -> dict:

@@ -12,6 +12,12 @@ def keep_newest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> D
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def with_conflicts(df: DataFrame, keys: list[str], value: str, into: str) -> DataFrame:
+    """Whether a row's key has more than one value, by the partitioning that :func:`keep_newest` needs too."""
+    same = Window.partitionBy(*keys)
+    return df.withColumn(into, F.min(value).over(same) != F.max(value).over(same))
+
+
 def newest_delivery() -> list[Column]:
     """Later window ends win, then later starts, then lower lines."""
     return [F.desc_nulls_last("source_end"), F.desc_nulls_last("source_start"), F.desc("line_no"), F.desc("source_file")]

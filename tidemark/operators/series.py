@@ -60,3 +60,8 @@ def jumps(df: DataFrame, s: Series = NAV, most: float = 0.5) -> DataFrame:
     rows = df.select(s.key, F.lag(s.day).over(s.order).alias(f"prev_{s.day}"), before.alias(f"prev_{s.value}"), s.day, s.value)
     change = F.try_divide(F.col(s.value), F.col(f"prev_{s.value}")) - 1
     return rows.withColumn("change", change.cast("double")).filter(F.abs(change) > most)
+
+
+def carried(value: Column, order: WindowSpec) -> Column:
+    """The last value that isn't null, down the rows of a window. A struct around a null is a value: it resets what is carried."""
+    return F.last(value, ignorenulls=True).over(order)

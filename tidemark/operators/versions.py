@@ -19,7 +19,7 @@ def attribute_versions(df: DataFrame, key: str = "scheme_code", attributes: list
 def registry_documents(versions: DataFrame, key: str = "scheme_code", attributes: list[str] | None = None, rows: str = "nav_rows", now: datetime | None = None) -> DataFrame:
     """A document for every key: the current attributes, the history in order of first and last day, the days' limits, and the number of renames.
 
-    Current is the version seen last (of those, the one that began last). A missing name counts as a name of its own.
+    Current is the version seen last (of those, the one that began last; of those, the last by its attributes). A missing name counts as a name of its own.
     """
     names = attributes or ATTRIBUTES
     name = names[0]
@@ -27,7 +27,7 @@ def registry_documents(versions: DataFrame, key: str = "scheme_code", attributes
     # A missing name counts once among the distinct ones.
     distinct = F.count_distinct(name) + F.max(F.col(name).isNull().cast("long"))
     docs = versions.groupBy(key).agg(
-        F.max_by(F.struct(*names), F.struct("last_seen", "first_seen")).alias("current"),
+        F.max_by(F.struct(*names), F.struct("last_seen", "first_seen", *names)).alias("current"),
         F.array_sort(F.collect_list(entry)).alias("history"),
         F.min("first_seen").alias("first_nav_date"),
         F.max("last_seen").alias("last_nav_date"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +26,17 @@ def option_of(name: Column) -> Column:
     return kind
 
 
+def with_active(df: DataFrame, last_day: str, days: int = 7) -> DataFrame:
+    """Whether a row's last day is one of the ``days`` before the newest of all, or that one."""
+    newest = df.agg(F.max(last_day).alias("_newest"))
+    rows = df.crossJoin(F.broadcast(newest))  # one row
+    return rows.withColumn("is_active", F.col(last_day) >= F.date_sub("_newest", days)).drop("_newest")
+
+
 def classified(registry: DataFrame, active_days: int = 7, key: str = "scheme_code") -> DataFrame:
     """Registry rows with asset class, plan, option, and whether they were seen in the ``active_days`` before the newest day of all."""
-    newest = registry.agg(F.max("last_nav_date").alias("newest"))
-    rows = registry.crossJoin(F.broadcast(newest))  # one row
     kinds = {"asset_class": before_first(F.col("category"), " - "), "plan": plan_of(F.col("scheme_name")), "option_type": option_of(F.col("scheme_name"))}
-    rows = rows.withColumns(kinds | {"is_active": F.col("last_nav_date") >= F.date_sub("newest", active_days)})
+    rows = with_active(registry, "last_nav_date", active_days).withColumns(kinds)
     return rows.select(key, "scheme_name", "scheme_type", "category", "asset_class", "fund_house", "isin_growth", "isin_reinvest", "plan", "option_type", "first_nav_date", "last_nav_date", "is_active", "name_changes")
 
 
@@ -132,21 +135,28 @@ def newest_anomalies(table: DataFrame, n: int = 50, key: str = "scheme_code") ->
     return rows.select(F.col("nav_date").cast("string").alias("nav_date"), "scheme_name", "fund_house", "prev_nav", "nav", percent(F.col("change"), 1).alias("change_pct"))
 
 
-def all_marts(metrics: DataFrame, registry: DataFrame, jumps: DataFrame, benchmark_code: int, active_days: int = 7) -> dict[str, DataFrame]:
-    """Every mart, from the loaded tables."""
-    dim = classified(registry, active_days)
-    card = scorecard(metrics, dim, benchmark_code)
+def staging(metrics: DataFrame, registry: DataFrame, jumps: DataFrame, active_days: int = 7) -> dict[str, DataFrame]:
+    """What marts are made of: cheap projections, views rather than tables."""
+    return {"stg_fund_metrics": metrics, "stg_schemes": classified(registry, active_days), "stg_nav_jumps": jumps}
+
+
+def from_staging(staged: dict[str, DataFrame], benchmark_code: int) -> dict[str, DataFrame]:
+    """Marts that need nothing but staged rows."""
+    metrics, dim = staged["stg_fund_metrics"], staged["stg_schemes"]
     return {
         "dim_scheme": dim,
         "fct_fund_metrics_monthly": monthly(metrics),
-        "mart_fund_scorecard": card,
-        "mart_category_summary": category_summary(card),
-        "mart_fund_house_summary": house_summary(card),
-        "mart_nav_anomalies": anomalies(jumps, dim),
+        "mart_fund_scorecard": scorecard(metrics, dim, benchmark_code),
+        "mart_nav_anomalies": anomalies(staged["stg_nav_jumps"], dim),
     }
 
 
-def named_views(tables: dict[str, DataFrame], materialise: Iterable[str] = ()) -> None:
-    """A temporary view for every table; those in ``materialise`` are cached."""
+def from_scorecard(card: DataFrame) -> dict[str, DataFrame]:
+    """Marts that sum up the scorecard, once it is written."""
+    return {"mart_category_summary": category_summary(card), "mart_fund_house_summary": house_summary(card)}
+
+
+def named_views(tables: dict[str, DataFrame]) -> None:
+    """A temporary view for every table."""
     for name, df in tables.items():
-        (df.cache() if name in set(materialise) else df).createOrReplaceTempView(name)
+        df.createOrReplaceTempView(name)

@@ -68,6 +68,19 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*[c.alias(k) for k, c in text.items()], *[F.lit(None).cast("string").alias(c) for c in ("isin_growth", "isin_reinvest", "scheme_type", "category", "fund_house")])
 
 
+def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery text for each brand, with a row for every part; before some parts a section or a house line, and some rows lack a field."""
+    key = F.col("p_partkey")
+    section = F.when(key % 5 == 0, F.concat(F.lit("Open Ended Schemes ( "), "p_type", F.lit(" (No. "), (key % 10).cast("string"), F.lit(") )\n")))
+    house = F.when(key % 3 == 0, F.concat(F.lit("  House   of "), F.col("p_size").cast("string"), F.lit(" \r\n")))
+    cells = F.array(key.cast("string"), F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit("  "))), F.lit(""), F.lit(""), F.when(key % 4 == 0, "-").otherwise(F.concat(F.lit("IN"), key.cast("string"))), F.lit(" "), F.col("p_size").cast("string"), F.lit("01-Sep-2026"))
+    row = F.array_join(F.when(key % 7 == 0, F.slice(cells, 1, 7)).otherwise(cells), ";")
+    lines = F.concat(F.coalesce(section, F.lit("")), F.coalesce(house, F.lit("")), row)
+    texts = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(F.struct(key.alias("k"), lines.alias("t")))).alias("x"))
+    head = F.lit("Scheme Code;NAV Name;a;b;c;d;e;f\n\n")
+    return texts.select(F.col("p_brand").alias("source_file"), F.concat(head, F.array_join(F.transform("x", lambda x: x["t"]), "\n")).alias("text"))
+
+
 def rounded(df: DataFrame, digits: int = 9, columns: list[str] | None = None) -> DataFrame:
     """Doubles to so many digits, as engines differ in the last."""
     names = columns or [c for c, kind in df.dtypes if kind == "double" and (c in METRICS or c.startswith(("p25", "p75", "median", "avg", "category_median", "share")) or "_vs_" in c or c.endswith("spread"))]
