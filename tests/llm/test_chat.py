@@ -71,3 +71,64 @@ def test_edges(spark):
     assert [r.json for r in got if r.conv_id == 1 and r.turn is None] == ['{"content":null,"role":"user"}']
     assert [json.loads(r.json)["content"] for r in got if r.turn == 2 and r.conv_id == 1] == ['{"a":1,"a":2}']
     assert run(spark, []) == []
+
+
+def test_rows_that_repeat_count_once(spark):
+    call, answer = (1, 0, "assistant", calls({"id": "a", "name": "search", "arguments": {"query": "x"}})), (1, 1, "tool", result("a", "same"))
+    got = run(spark, [call, call, answer, answer, answer])
+    assert sorted(r.status for r in got if r.kind == "call") == ["duplicate", "ok"]
+    assert sorted(r.status for r in got if r.kind == "result") == ["duplicate", "duplicate", "ok"]
+
+
+def brute_order(after, turn, answer):
+    """(level, at) of each call whose needs can all be met, from what each needs."""
+    out = {}
+    while True:
+        new = {}
+        for c in after.keys() - out.keys():
+            need = [x for x in after[c] if x in after]
+            if all(x in out for x in need):
+                new[c] = (max([out[x][0] + 2 for x in need], default=0), max([turn[c], *[max(out[x][1], answer.get(x, out[x][1])) for x in need]]))
+        if not new:
+            return out
+        out |= new
+
+
+def test_random_needs_against_brute_force(spark):
+    import random
+
+    choose = random.Random(3)
+    names = [f"c{k}" for k in range(40)]
+    after = {c: choose.sample(names, choose.choice([0, 0, 1, 2, 5])) if k > 30 else choose.sample(names[:k], min(k, choose.choice([0, 1, 1, 2, 4]))) for k, c in enumerate(names)}
+    turn = {c: k for k, c in enumerate(choose.sample(names, len(names)))}
+    answer = {c: 100 + choose.randrange(50) for c in names[:25]}
+    rows = [(1, turn[c], "assistant", calls({"id": c, "name": "search", "arguments": {"query": "q"}, "after": [*after[c], "no such call"]})) for c in names]
+    rows += [(1, t, "tool", result(c, 1)) for c, t in answer.items()]
+    want = brute_order(after, turn, answer)
+    got = {r.call_id: r for r in run(spark, rows) if r.kind == "call"}
+    assert {c: (r.level - 1, r["at"]) for c, r in got.items() if r.status != "cyclic"} == want
+    assert {c for c, r in got.items() if r.status == "cyclic"} == set(names) - set(want)
+
+
+def test_a_call_that_all_others_need(spark):
+    rows = [(1, 0, "assistant", calls({"id": "hub", "name": "search", "arguments": {"query": "q"}})), (1, 1, "tool", result("hub", 1))]
+    rows += [(1, 2 + k, "assistant", calls({"id": f"c{k}", "name": "search", "arguments": {"query": "q"}, "after": ["hub"]})) for k in range(300)]
+    levels = {r.call_id: r.level for r in run(spark, rows) if r.kind == "call"}
+    assert levels.pop("hub") == 1 and set(levels.values()) == {3} and len(levels) == 300
+
+
+def test_schemas_that_cannot_be_checked_raise():
+    import pytest
+
+    for bad in ({"oneOf": []}, {"properties": {"x": {"$ref": "#"}}}, {"items": {"uniqueItems": True}, "type": "array"}, {"additionalProperties": {"type": "string"}}, {"items": [{}]}):
+        with pytest.raises(ValueError, match="can't check"):
+            chat.schema_errors(chat.F.lit(1), bad)
+
+
+def test_elements_and_limits_are_checked(spark):
+    item = {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "exclusiveMinimum": 0, "maximum": 9}}, "additionalProperties": False}
+    tools = {"t": {"type": "object", "properties": {"xs": {"type": "array", "items": item, "minItems": 1, "maxItems": 2, "description": "d"}, "y": {"type": "number", "exclusiveMaximum": 1.5}}}}
+    cases = [({"xs": [{"n": 1}]}, []), ({"xs": []}, ["xs: beyond minItems"]), ({"xs": [{"n": 1}] * 3}, ["xs: beyond maxItems"]), ({"xs": [{"n": 0}]}, ["xs: items not by their schema"]), ({"xs": [{"n": 2}, {"m": 1, "n": 1}]}, ["xs: items not by their schema"]), ({"xs": [{}]}, ["xs: items not by their schema"]), ({"y": 1.5}, ["y: beyond exclusiveMaximum"]), ({"y": 1.4}, []), ({"xs": "no"}, ["xs: not array"])]
+    rows = [(k, 0, "assistant", calls({"id": "a", "name": "t", "arguments": a})) for k, (a, _) in enumerate(cases)]
+    got = {r.conv_id: r.errors for r in chat.linked(spark.createDataFrame(rows, SCHEMA), tools).collect() if r.kind == "call"}
+    assert got == {k: e for k, (_, e) in enumerate(cases)}

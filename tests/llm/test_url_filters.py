@@ -24,6 +24,13 @@ def rule_of(url, rules):
     return min(fit, key=lambda r: (-len(r.name), r.name), default=None)
 
 
+def with_path(url):
+    """A URL of a class has a path."""
+    head, mark, rest = url.partition("://")
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    return url if not mark or rest[cut : cut + 1] == "/" else f"{head}://{rest[:cut]}/{rest[cut:]}"
+
+
 def expected(rows, edges, rules):
     """rows: (id, url); edges: pairs of URLs without fragments, in lower-case hosts."""
     near = {}
@@ -34,7 +41,7 @@ def expected(rows, edges, rules):
     for i, url in rows:
         host, path = split(url)
         rule = rule_of(url, rules)
-        seen, todo = set(), [url.partition("#")[0]] if url else []
+        seen, todo = set(), [with_path(url.partition("#")[0])] if url else []
         while todo:
             x = todo.pop()
             if x not in seen:
@@ -111,3 +118,46 @@ def test_components_of_random_graphs(spark):
     got = components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()
     assert {(r.node, r.root) for r in got} == {(x, find(x)) for x in root} and len(got) == len(root)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_are_resolved_as_browsers_do(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.com/b/c/d?q#f", "http://a.com", "http://a.com/", "http://a.com/b/", "https://A.com:80/x/y"]
+    links = ["g", "./g", "g/", "/g", "//g.com/x", "?y", "g?y", "../", "..", "../g", "../..", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "http://z.org/a/../../bad/", "http://z.org/a/./b/..", "x?y=/../z", "a/b/../c"]
+    rows = [(k, b, x) for k, (b, x) in enumerate((b, x) for b in bases for x in links)]
+    df = spark.createDataFrame(rows, "k long, base string, link string")
+    got = {r.k: r.u for r in df.select("k", U.node_of(U.resolved(U.F.col("base"), U.F.col("link"))).alias("u")).collect()}
+
+    def want(base, link):
+        whole = urljoin(base, link)
+        if "://" in link:  # dot steps of absolute links are taken too
+            whole = urljoin(link, link.partition("://")[2][link.partition("://")[2].find("/") :])
+        host = whole.partition("://")[2].partition("/")[0]
+        return with_path(whole.partition("#")[0].replace(host, host.translate(LOWER), 1))
+
+    assert {k: got[k] for k, _, _ in rows} == {k: want(b, x) for k, b, x in rows}
+
+
+def test_base_dots_and_empty_paths_in_classes(spark):
+    rows = [
+        (1, "http://q.com/a/page", '<link rel="canonical" href="../../en/1">'),  # q.com/en/1 is blocked
+        (2, "http://w.fr/x", '<base href="http://q.com/en/"><link rel="canonical" href="1">'),
+        (3, "http://w.fr/x", None),
+        (4, "http://v.fr", '<link rel="canonical" href="http://w.fr/x">'),
+        (5, "http://v.fr/", None),
+        (6, "HTTP://V.fr/#top", None),
+        (7, "http://u.fr/", '<base href="/en/"><meta http-equiv="refresh" content="0;url=../y">'),
+    ]
+    got = {r.page_id: r.verdict for r in U.url_filter(spark.createDataFrame(rows, "page_id long, url string, html string"), RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow"}
+
+
+def test_hot_hubs_and_repeated_pages(spark):
+    """A third of the rows have one URL, and a third lead to one hub."""
+    rows = [(k, "http://hot.fr/p", None) for k in range(400)] + [(1000 + k, f"http://s{k}.fr/", '<link rel="canonical" href="http://hot.fr/p">') for k in range(400)]
+    rows += [(2000, "http://hot.fr/p", '<link rel="canonical" href="http://x.com/en/1">')] + [(3000 + k, None, None) for k in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    got = run(df)
+    assert len(got) == len(rows)
+    assert all(r[4] == ("block" if r[0] < 3000 else "allow") for r in got)

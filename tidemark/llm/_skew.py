@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARES = 1024
-MOST_BYTES, MOST_ROWS, ROW_BYTES = 16 << 20, 400_000, 40
+MOST_BYTES, MOST_ROWS, ROW_BYTES = 4 << 20, 100_000, 40
 
 
 def _bytes(column: Column, kind: T.DataType) -> Column:

@@ -10,6 +10,7 @@ their results and those before the calls that need them.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,10 @@ from ._skew import lookup
 TYPES = {"string": "STRING", "integer": "BIGINT", "number": "BIGINT|DOUBLE|FLOAT|DECIMAL.*", "boolean": "BOOLEAN", "object": "OBJECT.*", "array": "ARRAY.*", "null": "VOID"}
 
 
+CHECKED = set("type enum const minimum maximum exclusiveMinimum exclusiveMaximum minLength maxLength pattern required properties additionalProperties items minItems maxItems".split())
+SILENT = set("title description default examples $schema $id $comment deprecated".split())  # say nothing about values
+
+
 def _type_fits(value: Column, kinds: str | list[str]) -> Column:
     names = [kinds] if isinstance(kinds, str) else kinds
     return F.schema_of_variant(value).rlike("^(" + "|".join(TYPES[k] for k in names) + ")$")
@@ -31,8 +36,13 @@ def _path(steps: tuple[str, ...]) -> str:
 
 
 def schema_errors(value: Column, schema: dict, steps: tuple[str, ...] = ()) -> list[Column]:
-    """An expression for each demand of a JSON schema (type, enum, const, minimum, maximum, minLength, maxLength, pattern, required, properties,
-    additionalProperties: false, items), null if the value meets it, else a message. An absent value meets all."""
+    """An expression for each demand of a JSON schema (``CHECKED``), null if the value meets it, else a message. An absent value meets all.
+
+    A schema that demands anything else is an error: its demand would go unchecked.
+    """
+    unknown = sorted(set(schema) - CHECKED - SILENT)
+    if unknown or not isinstance(schema.get("additionalProperties", True), bool) or not isinstance(schema.get("items", {}), dict):
+        raise ValueError(f"schema of {'/'.join(steps) or 'arguments'}: can't check {', '.join(unknown) or 'its additionalProperties or items'}")
     here = F.try_variant_get(value, _path(steps), "variant") if steps else value
     name = "/".join(steps) or "arguments"
     out: list[Column] = []
@@ -50,6 +60,9 @@ def schema_errors(value: Column, schema: dict, steps: tuple[str, ...] = ()) -> l
         if word in schema:
             bad = sign * number < sign * schema[word]
             demand(~F.coalesce(bad, F.lit(False)), f"beyond {word}")
+    for word, sign in (("exclusiveMinimum", 1), ("exclusiveMaximum", -1)):
+        if word in schema:
+            demand(~F.coalesce(sign * number <= sign * schema[word], F.lit(False)), f"beyond {word}")
     for word, sign in (("minLength", 1), ("maxLength", -1)):
         if word in schema:
             demand(~F.coalesce(_type_fits(here, "string") & (sign * F.length(text) < sign * schema[word]), F.lit(False)), f"beyond {word}")
@@ -64,9 +77,18 @@ def schema_errors(value: Column, schema: dict, steps: tuple[str, ...] = ()) -> l
         out.append(F.when(is_object & (F.size(extra) > 0), F.concat(F.lit(f"{name}: unknown "), F.array_join(extra, ", "))))
     for k, inner in schema.get("properties", {}).items():
         out += schema_errors(value, inner, (*steps, k))
-    if "items" in schema and "type" in schema["items"]:
-        items = F.try_variant_get(value, _path(steps), "array<variant>")
-        demand(~F.coalesce(F.exists(items, lambda x: ~_type_fits(x, schema["items"]["type"])), F.lit(False)), f"items not {schema['items']['type']}")
+    items = F.try_variant_get(value, _path(steps), "array<variant>")
+    for word, sign in (("minItems", 1), ("maxItems", -1)):
+        if word in schema:
+            demand(~F.coalesce(items.isNotNull() & (sign * F.size(items) < sign * schema[word]), F.lit(False)), f"beyond {word}")
+    if schema.get("items"):
+        only_type = set(schema["items"]) <= {"type"} | SILENT
+
+        def broken(x: Column) -> Column:
+            return reduce(Column.__or__, [e.isNotNull() for e in schema_errors(x, schema["items"])], F.lit(False))
+
+        message = f"items not {schema['items']['type']}" if only_type and "type" in schema["items"] else "items not by their schema"
+        demand(~F.coalesce(F.exists(items, broken), F.lit(False)), message)
     return out
 
 
@@ -116,26 +138,46 @@ def split_units(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, t
     return messages, calls, results
 
 
+def _gathered(tables: list[tuple[int, DataFrame]], new: DataFrame) -> list[tuple[int, DataFrame]]:
+    """A list of tables with one more: equally large ones are merged, so that few are held and a row is seldom written again."""
+    tables = [*tables, (0, new)]
+    while len(tables) > 1 and tables[-1][0] == tables[-2][0]:
+        (size, a), (_, b) = tables.pop(), tables.pop()
+        merged = written(a.unionByName(b), "chat")
+        tables.append((size + 1, merged))
+    return tables
+
+
 def _ordered(firsts: DataFrame) -> DataFrame:
     """``at`` and ``level`` of each first call (key, turn, answer_turn, after), by rounds: a call follows when all that it needs are placed.
 
-    Calls on a cycle, or behind one, are never placed and are left out.
+    A round sends what the calls placed in the round before decide to the calls that need them, and writes no others. A call that many others need is split off by
+    :func:`lookup`. Calls on a cycle, or behind one, are never placed and are left out.
     """
-    own = F.struct(F.lit(0).alias("level"), F.col("turn").alias("at"))
-    needs = firsts.select("key", "turn", "answer_turn", F.explode(F.array_distinct("after")).alias("need"))
-    needs = needs.withColumn("need", F.struct(F.col("key.conv_id").alias("conv_id"), F.col("need").alias("call_id")))
-    needs = written(needs.join(firsts.select(F.col("key").alias("need"), F.col("answer_turn").alias("need_answer")), "need"), "chat")
-    waiting = needs.groupBy("key").agg(F.count("*").alias("n"))
-    free = firsts.join(waiting.select("key"), "key", "left_anti")
-    placed = written(free.select("key", own.alias("o")).select("key", "o.level", "o.at"), "chat")
-    while not needs.isEmpty():
-        ready = needs.join(placed.select(F.col("key").alias("need"), F.col("level").alias("need_level"), F.col("at").alias("need_at")), "need")
-        ready = ready.groupBy("key", "turn").agg(F.count("*").alias("n"), F.max("need_level").alias("l"), F.max(F.greatest("need_at", F.coalesce("need_answer", "need_at"))).alias("t"))
-        new = written(ready.join(waiting, ["key", "n"]).join(placed.select("key"), "key", "left_anti").select("key", (F.col("l") + 2).alias("level"), F.greatest("turn", "t").alias("at")), "chat")
-        if new.isEmpty():
+    needs = firsts.select("key", "turn", F.explode(F.array_distinct("after")).alias("need"))
+    needs = written(needs.withColumn("need", F.struct(F.col("key.conv_id").alias("conv_id"), F.col("need").alias("call_id"))), "chat")
+    start = firsts.select("key", F.lit(0).alias("level"), F.col("turn").alias("at"))
+    if needs.isEmpty():
+        return start
+    total = needs.count()
+    needed = needs.groupBy("need").agg(F.count("*").alias("n_need")).join(firsts.select(F.col("key").alias("need"), F.col("answer_turn").alias("need_answer")), "need")
+    needed = written(needed, "chat")
+    known = written(lookup(needs, needed, "need", "n_need", total).filter("n_need IS NOT NULL").drop("n_need"), "chat")
+    waiting = written(known.groupBy("key").agg(F.count("*").alias("n")), "chat")
+    front = written(start.join(waiting.select("key"), "key", "left_anti"), "chat")
+    placed, pending = [(0, front)], None
+    while True:
+        senders = front.select(F.col("key").alias("need"), F.col("level").alias("need_level"), F.col("at").alias("need_at")).join(needed.select("need", "n_need"), "need")
+        sent = lookup(known, senders, "need", "n_need", total).filter("need_level IS NOT NULL")
+        sent = sent.select("key", "turn", F.lit(1).cast("long").alias("got"), F.col("need_level").alias("l"), F.greatest("need_at", F.coalesce("need_answer", "need_at")).alias("t"))
+        heard = (sent if pending is None else sent.unionByName(pending)).groupBy("key", "turn").agg(F.sum("got").alias("got"), F.max("l").alias("l"), F.max("t").alias("t"))
+        heard = written(heard.join(waiting, "key"), "chat")
+        front = written(heard.filter("got = n").select("key", (F.col("l") + 2).alias("level"), F.greatest("turn", "t").alias("at")), "chat")
+        if front.isEmpty():
             break
-        placed = written(placed.unionByName(new), "chat")
-    return placed
+        pending = heard.filter("got < n").select("key", "turn", "got", "l", "t")
+        placed = _gathered(placed, front)
+    return reduce(DataFrame.unionByName, [df for _, df in placed])
 
 
 UNIT = ["conv_id", "at", "level", "turn", "seq", "kind", "call_id", "status", "errors", "json"]
@@ -147,20 +189,21 @@ def linked(turns: DataFrame, tools: dict[str, dict], conv_col: str = "conv_id",
     ``tools`` has each tool's JSON schema of its arguments. Status of a call: ``ok``, ``unanswered``, ``duplicate`` (its id was used before; the first call by turn counts),
     ``cyclic``; ``errors`` says what is wrong with its name, arguments or needs. Of a result: ``ok``, ``duplicate`` or ``orphan`` (no call has its id).
     A call without an id can't be answered. Messages have status ``ok``; null roles and texts are JSON null. Text that isn't a JSON object, or repeats a
-    key, is plain text. Rows that repeat a turn each have a row; nulls in conv_id or turn are kept, and such calls are linked to none. An empty table gives an empty result.
+    key, is plain text. Rows that repeat a turn each have a row, of which one call and one result count and the others are duplicates. Very long texts are kept whole; nulls in conv_id or turn are kept, and such calls are linked to none. An empty table gives an empty result.
     """
     messages, calls, results = split_units(turns, conv_col, turn_col, role_col, text_col)
     none, no_errors = F.lit(None).cast("string"), F.array().cast("array<string>")
     line = _line(content=_quoted(F.col("content")), role=_quoted(F.col("role")))
     out = messages.select("conv_id", F.col("turn").alias("at"), F.lit(0).cast("long").alias("level"), "turn", F.lit(-1).cast("long").alias("seq"), F.lit("message").alias("kind"), none.alias("call_id"), F.lit("ok").alias("status"), no_errors.alias("errors"), line.alias("json"))
-    calls, results = written(calls, "chat"), written(results, "chat")
+    # Rows that are alike in all are told apart by a number, which stays once it is written.
+    calls, results = (written(df.withColumn("row", F.monotonically_increasing_id()), "chat") for df in (calls, results))
     if calls.isEmpty() and results.isEmpty():
         return out.select(UNIT)
     key = F.when(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull(), F.struct("conv_id", "call_id"))
     calls, results = calls.withColumn("key", key), results.withColumn("key", key)
     result_line = F.concat(F.to_json("content"), F.lit(""))
-    answers = results.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("turn", F.coalesce(result_line, F.lit("null")).alias("text"))).alias("answer"), F.count("*").alias("n_results"))
-    first = calls.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("turn", "seq")).alias("first"), F.min_by("after", F.struct("turn", "seq")).alias("after"), F.count("*").alias("n_calls"))
+    answers = results.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("turn", F.coalesce(result_line, F.lit("null")).alias("text"), "row")).alias("answer"), F.count("*").alias("n_results"))
+    first = calls.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("turn", "seq", "row")).alias("first"), F.min_by("after", F.struct("turn", "seq", "row")).alias("after"), F.count("*").alias("n_calls"))
     joined = written(first.join(answers, "key", "full").withColumns({"n_calls": F.coalesce("n_calls", F.lit(0)), "n_results": F.coalesce("n_results", F.lit(0))}), "chat")
     placed = _ordered(written(joined.filter("first IS NOT NULL").select("key", "first.turn", F.col("answer.turn").alias("answer_turn"), "after"), "chat"))
     known = joined.join(placed, "key", "left").withColumn("rows", F.col("n_calls") + F.col("n_results")).drop("after")
@@ -174,14 +217,14 @@ def linked(turns: DataFrame, tools: dict[str, dict], conv_col: str = "conv_id",
     missing = needed.join(joined.filter("first IS NOT NULL").select(F.col("key").alias("need")), "need", "left_anti").groupBy("key").agg(F.array_sort(F.collect_set("n")).alias("missing"))
     calls = calls.withColumn("errors", F.array_compact(F.array(*checks)))
     calls = lookup(calls, known.join(missing, "key", "left"), "key", "rows", total)
-    is_first = F.col("first").eqNullSafe(F.struct("turn", "seq"))
+    is_first = F.col("first.row").eqNullSafe(F.col("row"))
     status = F.when(F.col("key").isNull(), "unanswered").when(~is_first, "duplicate").when(F.col("level").isNull(), "cyclic").when(F.col("n_results") == 0, "unanswered").otherwise("ok")
     errors = F.concat("errors", F.coalesce(F.transform("missing", lambda m: F.concat(F.lit("after: no call "), m)), no_errors))
     line = _line(arguments=F.coalesce(F.to_json("arguments"), F.lit("null")), id=_quoted(F.col("call_id")), name=_quoted(F.col("name")))
     calls = calls.select("conv_id", F.when(is_first, F.coalesce("at", "turn")).otherwise(F.col("turn")).alias("at"), F.when(is_first, F.coalesce("level", F.lit(0)) + 1).otherwise(1).cast("long").alias("level"), "turn", "seq", F.lit("call").alias("kind"), "call_id", status.alias("status"), errors.alias("errors"), line.alias("json"))
     results = lookup(results, known, "key", "rows", total)
     text = F.coalesce(result_line, F.lit("null"))
-    is_answer = F.col("answer").eqNullSafe(F.struct("turn", text.alias("text")))
+    is_answer = F.col("answer.row").eqNullSafe(F.col("row"))
     status = F.when(F.col("first").isNull(), "orphan").when(is_answer, "ok").otherwise("duplicate")
     line = _line(content=text, role=F.lit('"tool"'), tool_call_id=_quoted(F.col("call_id")))
     results = results.select("conv_id", F.greatest(F.col("turn"), F.coalesce("at", "turn")).alias("at"), (F.coalesce("level", F.lit(0)) + 2).cast("long").alias("level"), "turn", F.lit(0).cast("long").alias("seq"), F.lit("result").alias("kind"), "call_id", status.alias("status"), no_errors.alias("errors"), line.alias("json"))

@@ -22,9 +22,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._arrow import bounded_batches, tidy
 from ._shared import renamed
-from ._text import SLICE_BYTES, slices, string_buffers
+from ._text import slices, string_buffers
 
-BITS = 16
+BITS, SLICE_BYTES = 16, 1 << 19
 UNKNOWN = "und"
 # Words of programs, for rows that are no language.
 PROGRAM = "def return import class for in if else elif while try except raise self None True False int str len range print public static void new null const let var function this string char double float include struct typedef main println select from where join order by group insert into values".split()
@@ -235,10 +235,10 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: C
                 yield pa.RecordBatch.from_pydict({"bucket": [r.bucket.astype("<u2").tobytes() for r in made], "share": [r.share.astype("<f4").tobytes() for r in made], "lang": pa.array([r.lang for r in made], pa.string()), "calibrates": [r.calibrates for r in made]})
 
     got = sorted(chosen.mapInArrow(tidy(run), BAGS).collect(), key=lambda r: (r.lang or "", r.calibrates, r.bucket, r.share))
-    return [Row(np.frombuffer(r.bucket, "<u2").astype(np.int64), np.frombuffer(r.share, "<f4").astype(float), r.lang, r.calibrates) for r in got]
+    return [Row(np.frombuffer(r.bucket, "<u2"), np.frombuffer(r.share, "<f4"), r.lang, r.calibrates) for r in got]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = 400, error: float = 0.005) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5, per_lang: int = 300, error: float = 0.005) -> Model:
     """Trains on folds 2 to ``folds - 1`` of crc32(id as text), calibrates on fold 1, leaves fold 0 out. ``error`` is the share of texts in a known
     language that may be rejected and of texts in none that may be accepted, as measured on fold 1.
 
@@ -317,7 +317,7 @@ def _predictor(model: Model, text_col: str, schema: pa.Schema) -> Callable[[Iter
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.classes, object)
         for whole in batches:
-            for at, to in slices(whole.column(text_col)):
+            for at, to in slices(whole.column(text_col), SLICE_BYTES):
                 batch = whole.slice(at, to - at)
                 p = _score(model, *string_buffers(batch.column(text_col)))[:, :-1]
                 new = {"lang_pred": pa.array(names[p.argmax(1)], pa.string()), "score": pa.array(np.round(p.max(1), 6))}
