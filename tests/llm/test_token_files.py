@@ -137,3 +137,15 @@ def test_added_tokens_in_long_texts(monkeypatch):
     monkeypatch.setattr(T, "LONG", 30)
     ids, counts = T.encoder_of(vocabulary()).encode_long(text, 0)
     assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0] and counts.tolist() == [len(ids)]
+
+
+def test_pieces_with_equal_hashes_are_told_apart(monkeypatch):
+    mix = T.mix
+    monkeypatch.setattr(T, "mix", lambda x: mix(x) & np.uint64(0x7000000000000000))
+    encoder = T.PieceEncoder(vocabulary())
+    random.seed(2)
+    for _ in range(4):
+        texts = [" ".join(random.choice(["alpha", "beta", "gamma", "delta", "eins", "zwei", "10", "?!"]) for _ in range(30)) for _ in range(6)]
+        ids, counts = encoder.encode(texts, 0)
+        want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]

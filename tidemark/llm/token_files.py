@@ -133,7 +133,7 @@ class PieceEncoder:
 
     A byte-level tokenizer first cuts a text into pieces by a pattern and then encodes every piece by itself. Here numpy
     cuts whole batches by the same pattern, with character classes asked of the library; every piece that the store
-    lacks goes to the library once. A store that is full is emptied. Pieces are told apart by 64-bit hashes.
+    lacks goes to the library once. A store that is full is emptied. Pieces are found by 64-bit hashes and then compared character by character.
     Added tokens that a text spells out get their ids, as in the library: the text is cut there before it is cut into pieces.
     """
 
@@ -168,7 +168,10 @@ class PieceEncoder:
         self.place = np.zeros(self.SLOTS, np.uint32)
         self.size = np.zeros(self.SLOTS, np.int32)
         self.store = np.zeros(self.STORE + (1 << 20), self.dtype)
-        self.used = self.filled = 0
+        self.begin = np.zeros(self.SLOTS, np.uint32)
+        self.length = np.zeros(self.SLOTS, np.int32)
+        self.known = np.zeros(1 << 22, np.uint32)
+        self.used = self.filled = self.seen = 0
 
     def _classes(self, points: np.ndarray) -> np.ndarray:
         """1 letter, 2 number, 3 white space, 0 other, as the library's patterns have it; it is asked once for each code point."""
@@ -211,20 +214,37 @@ class PieceEncoder:
             begin[one[which] + 1 + take] = True
         return np.flatnonzero(begin[:n])
 
-    def _probe(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place, size = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+    @staticmethod
+    def _same(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Which stretches of n characters (one at least) are alike."""
+        if not len(n):
+            return np.zeros(0, bool)
+        return np.logical_and.reduceat(a[ragged(at_a, n)] == b[ragged(at_b, n)], running(n.astype(np.int64))[:-1])
+
+    def _probe(self, hashes: np.ndarray, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids are in the store, and how many; -1 for pieces that it lacks."""
+        found = np.full(len(hashes), -1, np.int64)
         slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
         left = np.arange(len(hashes))
         for _ in range(self.PROBES):
             got = self.keys[slot]
             hit = got == hashes[left]
-            place[left[hit]] = self.place[slot[hit]]
-            size[left[hit]] = self.size[slot[hit]]
+            found[left[hit]] = slot[hit]
             on = ~hit & (got != 0)
             left, slot = left[on], (slot[on] + 1) % self.SLOTS
+        hit = np.flatnonzero(found >= 0)
+        hit = hit[self.length[found[hit]] == lengths[hit]]
+        hit = hit[self._same(points, starts[hit], self.known, self.begin[found[hit]].astype(np.int64), lengths[hit])]
+        place, size = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        place[hit], size[hit] = self.place[found[hit]], self.size[found[hit]]
         return place, size
 
-    def _insert(self, hashes: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
+    def _insert(self, hashes: np.ndarray, place: np.ndarray, size: np.ndarray, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        begin = self.seen + running(lengths.astype(np.int64))
+        while begin[-1] > len(self.known):
+            self.known = np.append(self.known, np.zeros(len(self.known), np.uint32))
+        self.known[self.seen : begin[-1]] = points[ragged(starts, lengths)]
+        self.seen = int(begin[-1])
         slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
         left = np.arange(len(hashes))
         for _ in range(self.PROBES):
@@ -232,6 +252,7 @@ class PieceEncoder:
             mine, which = np.unique(slot[free], return_index=True)
             put = free[which]
             self.keys[mine], self.place[mine], self.size[mine] = hashes[left[put]], place[left[put]], size[left[put]]
+            self.begin[mine], self.length[mine] = begin[:-1][left[put]], lengths[left[put]]
             self.filled += len(put)
             on = np.ones(len(left), bool)
             on[put] = False
@@ -260,17 +281,23 @@ class PieceEncoder:
         text = "".join(texts)
         offsets = running(np.array([len(x) for x in texts], np.int64))
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        if self.used > self.STORE or self.filled > 0.6 * self.SLOTS:
+        if max(self.used, self.seen) > self.STORE or self.filled > 0.6 * self.SLOTS:
             self._empty()
         starts = self.pieces(points, offsets) if len(points) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(points))[: len(starts)]
         up, down = powers(len(points) + 1)
         sums = running(self.values[points] * up[: len(points)])
         hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)) | np.uint64(1)
-        place, size = self._probe(hashes)
+        wide = ends - starts
+        place, size = self._probe(hashes, points, starts, wide)
         miss = np.flatnonzero(place < 0)
         if len(miss):
-            new, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            _, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            lead = first[back]
+            same = wide[miss] == wide[miss[lead]]
+            same[same] = self._same(points, starts[miss[same]], points, starts[miss[lead[same]]], wide[miss[same]])
+            lead[~same] = np.flatnonzero(~same)  # another piece with an equal hash stands for itself
+            first, back = np.unique(lead, return_inverse=True)
             a, b = starts[miss[first]].tolist(), ends[miss[first]].tolist()
             got = [e.ids for e in self.tokenizer.encode_batch_fast([text[x:y] for x, y in zip(a, b, strict=True)], add_special_tokens=False)]
             lengths = np.array([len(x) for x in got], np.int64)
@@ -279,7 +306,7 @@ class PieceEncoder:
                 self.store = np.append(self.store, np.zeros(len(self.store), self.dtype))
             self.store[self.used : at[-1]] = np.fromiter((i for x in got for i in x), self.dtype, int(lengths.sum()))
             self.used = int(at[-1])
-            self._insert(new, at[:-1], lengths)
+            self._insert(hashes[miss[first]], at[:-1], lengths, points, starts[miss[first]], wide[miss[first]])
             place[miss], size[miss] = at[:-1][back], lengths[back]
         ids = self.store[ragged(place, size)]
         of_piece = running(size)
@@ -326,7 +353,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     Documents lie in ascending (id, text) order, null ids first, over shards and within them. Ids are numbers. Null and empty texts have the end
     id alone; repeated rows are each written. An empty table gives empty shards. Other columns are ignored.
     A file is named after the task attempt that wrote it and only files of successful attempts are listed, so
-    a lost executor or a second attempt does no harm.
+    a lost executor or a second attempt does no harm. Very long texts are encoded whole, in stretches that change no id.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
