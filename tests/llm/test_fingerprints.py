@@ -1,18 +1,23 @@
+import bisect
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from brute import words
 from tidemark.llm import fingerprints as P
+from tidemark.llm import jaccard_join as J
 
 COMMON = set(P.common_words())
 
 
 def spots(text):
     w, out = words(text), set()
+    content = [k for k, x in enumerate(w) if x not in COMMON]
     for k, x in enumerate(w):
         if x in COMMON:
-            chain = [y for y in w[k + 1 :] if y not in COMMON][: P.CHAIN]
+            at = bisect.bisect(content, k)
+            chain = [w[y] for y in content[at : at + P.CHAIN]]
             if len(chain) == P.CHAIN:
                 out.add((x, *chain))
     return out or ({("all", *w)} if w else {("raw", text)} if text else set())
@@ -58,18 +63,48 @@ def test_equal_texts_have_equal_fingerprints(spark):
     assert len(P.decoded(got[1])) == 2
 
 
-def test_near_pairs(spark):
+def brute_groups(texts, threshold):
+    """(id, smallest id of the group, links), over all pairs."""
+    sets = [spots(t) for t in texts]
+    root, links = list(range(len(texts))), [0] * len(texts)
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and both >= threshold * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+                x, y = sorted((root[a], root[b]))
+                root = [x if r == y else r for r in root]
+    return sorted(zip(range(len(texts)), root, links, strict=True))
+
+
+@pytest.mark.parametrize("block, threshold", [(1024, 0.7), (8, 0.85)])
+def test_near_copies(spark, monkeypatch, block, threshold):
+    monkeypatch.setattr(J, "BLOCK", block)
     random = np.random.default_rng(2)
     base = " ".join(f"the w{k} v{k} u{k}" for k in range(40)).split()
     texts = [" ".join(x if random.random() > 0.02 else f"z{random.integers(99)}" for x in base[: random.integers(100, 160)]) for _ in range(60)]
-    texts += texts[:3] + ["", None]
+    texts += texts[:3] + ["", None, "!!", "!!", "no anchor here", "of a b"] + ["the cat sat down on the mat " * 9000, "the cat sat down on the mat " * 8000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    members, pairs = P.near_pairs(P.fingerprints(df), 0.7)
-    own = dict(members.collect())
-    assert own[60] == 0 and own[61] == 1 and own[63] == own[64] == 63
-    want = {(min(a, b), max(a, b)) for a in set(own.values()) for b in set(own.values()) if a < b and like(texts[a], texts[b]) >= 0.7 and texts[a]}
-    got = pairs.collect()
-    assert {(min(r.a, r.b), max(r.a, r.b)) for r in got} == want and len(got) == len(want) > 20
+    got = sorted((r["id"], r.class_id, r.n_links) for r in P.near_copies(df, threshold=threshold).collect())
+    assert got == brute_groups(texts, threshold) and sum(x[2] for x in got) > 20
+
+
+def test_near_copies_of_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    df = spark.createDataFrame([(k, r.text) for k, r in enumerate(docs)], "doc_id long, text string")
+    got = sorted((r["id"], r.class_id, r.n_links) for r in P.near_copies(df).collect())
+    assert got == brute_groups([r.text for r in docs], 0.8) and any(n for _, _, n in got)
+
+
+def test_bitmaps_bound_the_difference():
+    random = np.random.default_rng(1)
+    sets = [np.unique(random.integers(0, 1 << 63, random.integers(1, 900)).astype(np.uint64)) for _ in range(20)]
+    sets += [np.unique(np.append(x[: int(len(x) * 0.9)], random.integers(0, 1 << 63, 30).astype(np.uint64))) for x in sets]
+    maps = P.bitmaps(len(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets))
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            assert np.bitwise_count((maps[a] ^ maps[b]).view(np.uint64)).sum() <= len(np.setxor1d(sets[a], sets[b]))
 
 
 def test_signature_count():

@@ -44,11 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a folder that nothing reads any more."""
+    hfs, hpath = _filesystem(spark, path)
+    hfs.delete(hpath, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Removes written tables that nothing reads any more."""
     for df in tables:
-        hfs, hpath = _filesystem(df.sparkSession, df._written_to)
-        hfs.delete(hpath, True)
+        removed(df.sparkSession, df._written_to)
 
 
 def renamed(docs: DataFrame, *columns: str) -> tuple[DataFrame, list[str], list[str]]:

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ._arrow import bounded_batches, tidy
 from ._ranges import blocks, ranges
-from ._shared import written
 from ._text import mix, running, seeds, slices, string_buffers, words
+from .jaccard_join import Measure, Pairs, grouped, set_digests
 
 CHAIN = 3
 # Frequent function words.
@@ -98,7 +98,10 @@ def decoded(fingerprint: str) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and signatures (sorted array of longs) of every row; repeated rows each have one."""
+    """id and signatures (sorted array of longs) of every row; repeated rows each have one, null and empty texts an empty one.
+
+    Very long texts count whole; other columns are ignored; an empty table gives an empty result.
+    """
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,41 +116,67 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return light.mapInArrow(tidy(run), f"id {light.schema['id'].dataType.simpleString()}, signatures array<long>")
 
 
-def near_pairs(prints: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Members (id, class: the smallest id with the same set) and pairs of classes (a, b, jaccard of at least ``threshold``).
+BITMAP = 512
+BITMAP_COLUMNS = [f"m{k}" for k in range(BITMAP // 64)]
+
+
+def bitmaps(n_rows: int, owner: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    """For each set the parity of how many of its signatures fall on each of ``BITMAP`` bits, as 64-bit words.
+
+    Two sets differ in at least as many signatures as their bitmaps differ in bits.
+    """
+    bit = (sig >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)
+    counts = np.bincount(owner * BITMAP + bit, minlength=n_rows * BITMAP)
+    return np.packbits((counts & 1).astype(bool).reshape(n_rows, BITMAP), axis=1).view(np.int64)
+
+
+def of_spots(threshold: float = 0.8) -> Measure:
+    """Sets of spot signatures, partitioned by length: partition k holds lengths from threshold**-k on, and a set can only be like sets of its own and the next one.
+
+    Within the two, a set of length n shares one of its n - ceil(threshold n) + 1 smallest signatures with every set like it: classes meet on those. Pairs
+    that meet are pruned by their lengths and by their bitmaps, which bound how many signatures they can share.
+    """
+
+    def sketched(texts: pa.Array) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray, pa.Array]:
+        owner, sig = signatures(texts)
+        n = np.bincount(owner, minlength=len(texts))
+        filled = np.flatnonzero(n)
+        prefix = np.where(n > 0, n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1, 0)
+        place = np.arange(len(sig)) - np.repeat(running(n)[:-1], n)
+        first = sig[place < prefix[owner]].view(np.int64)
+        own = pa.ListArray.from_arrays(pa.array(running(prefix), pa.int32()), pa.array(first))
+        return n, set_digests(n, sig), bitmaps(len(texts), owner, sig)[filled], filled, own
+
+    def spread(rows: DataFrame, classes: DataFrame) -> DataFrame:
+        level = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(threshold)) + F.lit(1e-9))
+        prefixes = rows.select("row", "own").join(classes.select("row", "cid", "n"), "row")
+        met = prefixes.select("cid", "n", F.explode("own").alias("x"), level.alias("level"))
+        return met.select("cid", "n", F.lit(-1).alias("band"), F.explode(F.array(F.xxhash64("x", "level"), F.xxhash64("x", F.col("level") - 1))).alias("word"))
+
+    def keep(maps: np.ndarray, n: np.ndarray, _: np.ndarray, a: np.ndarray, b: np.ndarray) -> Pairs:
+        low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        ok = low >= high * threshold - 1e-9
+        a, b = a[ok], b[ok]
+        apart = np.bitwise_count((maps[a] ^ maps[b]).view(np.uint64)).sum(1, dtype=np.int64)
+        ok = (n[a] + n[b] - apart) / 2 >= (n[a] + n[b]) * (threshold / (1 + threshold)) - 1e-6
+        return a[ok], b[ok]
+
+    return Measure(threshold, BITMAP_COLUMNS, sketched, spread, keep, _sets)
+
+
+def _sets(texts: pa.Array) -> Pairs:
+    """Row and signature of every text's set, a slice of texts at a time."""
+    parts = [(owner + a, sig) for a, b in slices(texts) for owner, sig in [signatures(texts.slice(a, b - a))]]
+    return np.concatenate([np.zeros(0, np.int64), *[p for p, _ in parts]]), np.concatenate([np.zeros(0, np.uint64), *[x for _, x in parts]])
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """A row for every row of ``docs``: mark, id, ``copy_of`` (smallest id with the same fingerprint), ``class_id`` (smallest id of the group that links connect) and ``n_links``.
 
-    Classes are grouped by a digest of the set, so copies cost nothing further. Classes are partitioned by set length:
-    partition k holds lengths from threshold**-k on, and a set can only be like sets of its own and the next partition.
-    Within the two, a set of length n shares one of its n - ceil(threshold n) + 1 rarest signatures with every set like it, so pairs meet on those;
-    a pair is dropped when what is left of both sets behind the meeting place can't reach the threshold.
-    Empty sets form one class and no pairs.
+    A link joins two rows whose fingerprints have a Jaccard similarity of ``threshold`` or more. Large buckets are dealt in blocks and no pairs are listed, as in
+    :mod:`.jaccard_join`. Null and empty texts are linked to none; repeated rows, null ids, ties, very long texts, extra columns and an empty table as there.
     """
-    digest = F.sha1(F.concat_ws(",", F.col("signatures")).cast("binary"))
-    keyed = prints.withColumn("digest", digest)
-    classes = keyed.groupBy("digest").agg(F.min("id").alias("class"), F.first("signatures").alias("s"))
-    classes = written(classes, "prints")
-    members = keyed.select("id", "digest").join(classes.select("digest", "class"), "digest").select("id", "class")
-    sets = classes.filter(F.size("s") > 0).select("class", "s")
-    counts = written(sets.select(F.explode("s").alias("x")).groupBy("x").agg(F.count("*").alias("f")), "prints")
-    ranked = sets.select("class", F.size("s").alias("n"), F.explode("s").alias("x")).join(counts, "x").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("r"))
-    ranked = written(ranked, "prints")
-    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(threshold)) + F.lit(1e-9))
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    parts = ranked.withColumn("level", level).select("class", "n", "level", F.posexplode(F.slice("r", F.lit(1), prefix.cast("int"))).alias("i", "t"))
-    parts = parts.filter(F.col("t.f") > 1).select("class", "n", "level", "i", F.col("t.x").alias("x"))
-    own = parts.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), "x", "level")
-    other = parts.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), "x", F.explode(F.array(F.col("level"), F.col("level") - 1)).alias("level"))
-    fits = (F.col("a") != F.col("b")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-    least = F.ceil((F.col("na") + F.col("nb")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
-    reach = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + F.least(F.col("ia"), F.col("ib")) >= least
-    met = own.join(other, ["x", "level"]).filter(fits & (F.col("na") >= F.col("nb") * threshold - 1e-9) & reach)
-    pairs = met.select("a", "b").distinct()
-    both = F.size(F.array_intersect("sa", "sb"))
-    jaccard = both / (F.size("sa") + F.size("sb") - both)
-    left = sets.select(F.col("class").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("class").alias("b"), F.col("s").alias("sb"))
-    pairs = pairs.join(left, "a").join(right, "b").withColumn("jaccard", jaccard).filter(F.col("jaccard") >= threshold - 1e-12)
-    return members, pairs.select("a", "b", "jaccard")
+    return grouped(docs, id_col, text_col, of_spots(threshold)).drop("text_key", "root")
 
 
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -158,7 +187,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The edited text: the last half (rounded down) of a text's characters is replaced by as many of the first characters of the next document (or
     all of them); documents are in descending (id, then ascending text) order, null ids last, and the first follows the last. Rows are
-    dealt into ranges of ids; each range also gets the first row of the next one, so that no task needs another's rows.
+    dealt into ranges of ids; each range also gets the first row of the next one, so that no task needs another's rows. Null texts are as empty ones, and two empty fingerprints are
+    alike; repeated rows follow one another; very long texts count whole; other columns are ignored; an empty table gives an empty result.
     """
     bounded_batches(docs.sparkSession)
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

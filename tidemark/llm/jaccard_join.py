@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from math import comb
 
 import numpy as np
@@ -54,29 +55,61 @@ def least_matches(threshold: float, tolerance: float) -> list[int]:
 
 BANDS = HASHES // BAND
 WORDS = [f"b{k}" for k in range(BANDS)]
-SKETCH = "mark string, text_key long, id {}, n long, digest binary, " + ", ".join(f"{w} long" for w in WORDS)
+SKETCH = "mark string, text_key long, id {}, n long, digest binary, own array<long>, {}"
+
+
+Pairs = tuple[np.ndarray, np.ndarray]
+
+
+@dataclass(frozen=True)
+class Measure:
+    """Sets whose Jaccard similarity is compared: how a text's set is made (``sets``: row and value of its elements) and sketched (size, digest, a row of
+    ``columns`` for texts with elements, and an array of longs that only ``spread`` uses), in which buckets classes meet (``spread``: cid, n, band, word), and which pairs that meet may reach the
+    threshold (``keep``: of signatures, sizes, bands and pairs). ``once``: a pair is kept in one bucket at most; else clusters are always verified whole."""
+
+    threshold: float
+    columns: list[str]
+    sketch: Callable[[pa.Array], tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray, pa.Array]]
+    spread: Callable[[DataFrame, DataFrame], DataFrame]
+    keep: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], Pairs]
+    sets: Callable[[pa.Array], Pairs]
+    once: bool = False
+
+
+def of_shingles(threshold: float = 0.8, width: int = 5, tolerance: float = 1e-5) -> Measure:
+    """Runs of ``width`` words; classes meet in MinHash bands and are pruned by comparing MinHash values step by step."""
+    least = least_matches(threshold, tolerance)
+
+    def sketched(texts: pa.Array) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray, pa.Array]:
+        n, digests, values, filled = sketch(texts, width, seeds(HASHES, 11) | np.uint64(1))
+        return n, digests, values.view(np.int64), filled, pa.nulls(len(texts), pa.list_(pa.int64()))
+
+    def spread(_: DataFrame, classes: DataFrame) -> DataFrame:
+        return classes.filter("n > 0").select("cid", "n", F.posexplode(F.array(*WORDS)).alias("band", "word"))
+
+    return Measure(threshold, WORDS, sketched, spread, lambda bands, n, band, a, b: survivors(bands, n, band, a, b, threshold, least), lambda texts: sets_of(texts, width), once=True)
 
 
 def _mark(id_col: str, text_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.xxhash64(text_col).cast("string")))
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """mark (a row's id as text, or for a null id a hash of its text), text_key (a hash of the text), id, number of shingles, digest, and a column for each band."""
+def sketches(docs: DataFrame, id_col: str, text_col: str, measure: Measure) -> DataFrame:
+    """mark (a row's id as text, or for a null id a hash of its text), text_key (a hash of the text), id, size of the set, digest, and the measure's columns."""
     light = docs.select(_mark(id_col, text_col).alias("mark"), F.xxhash64(text_col).alias("text_key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    names = ["mark", "text_key", "id", "n", "digest", "own", *measure.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = seeds(HASHES, 11) | np.uint64(1)
         for whole in batches:
             for a, b in slices(whole.column("text")):
                 batch = whole.slice(a, b - a)
-                n, digests, values, filled = sketch(batch.column("text"), width, factors)
-                words64 = np.zeros((len(batch), BANDS), np.int64)
-                words64[filled] = values.view(np.int64)
-                bands = [pa.array(words64[:, k], mask=n == 0) for k in range(BANDS)]
-                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("text_key"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), *bands], names=["mark", "text_key", "id", "n", "digest", *WORDS])
+                n, digests, values, filled, own = measure.sketch(batch.column("text"))
+                longs = np.zeros((len(batch), len(measure.columns)), np.int64)
+                longs[filled] = values
+                columns = [pa.array(longs[:, k], mask=n == 0) for k in range(len(measure.columns))]
+                yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("text_key"), batch.column("id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), own, *columns], names=names)
 
-    return light.mapInArrow(tidy(run), SKETCH.format(light.schema["id"].dataType.simpleString()))
+    return light.mapInArrow(tidy(run), SKETCH.format(light.schema["id"].dataType.simpleString(), ", ".join(f"{c} long" for c in measure.columns)))
 
 
 def sketch(texts: pa.Array, width: int, factors: np.ndarray) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray]:
@@ -192,31 +225,27 @@ def survivors(bands: np.ndarray, n: np.ndarray, band: np.ndarray, a: np.ndarray,
     return a, b
 
 
-def _signatures(table: pa.Table) -> np.ndarray:
-    return np.ascontiguousarray(np.stack([np.asarray(table[w]) for w in WORDS], 1))
-
-
-def _left(table: pa.Table, keys: list[str], threshold: float, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _left(table: pa.Table, keys: list[str], measure: Measure) -> Iterator[Pairs]:
     """The pairs of rows that pruning leaves in the groups of a table."""
     starts = group_starts([np.asarray(table[k]) for k in keys])
     i, j, block, band = (np.asarray(table[k]) for k in ("i", "j", "block", "band"))
     side = np.where(i == j, 2, (block == j).astype(int))
-    bands, n = _signatures(table), np.asarray(table["n"])
+    signatures, n = np.ascontiguousarray(np.stack([np.asarray(table[c]) for c in measure.columns], 1)), np.asarray(table["n"])
     for a, b in paired(starts, len(table), side):
-        yield survivors(bands, n, band, a, b, threshold, least)
+        yield measure.keep(signatures, n, band, a, b)
 
 
 PLACE = ["band", "word", "i", "j"]
 MET = "band int, word long, i int, j int, block int, cid long, root long"
 
 
-def _pruner(threshold: float, least: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pruner(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, PLACE):
             if not len(table):
                 continue
             forest, active = Forest(len(table)), np.zeros(len(table), bool)
-            for a, b in _left(table, PLACE, threshold, least):
+            for a, b in _left(table, PLACE, measure):
                 forest.add(a, b)
                 active[a] = active[b] = True
             k = np.flatnonzero(active)
@@ -245,11 +274,11 @@ def shared_counts(rows_a: tuple[np.ndarray, np.ndarray], n_a: int, rows_b: tuple
     return out
 
 
-def _verifier(threshold: float, width: int, least: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _verifier(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     keys = ["gkey", "band", "i", "j"]
 
     def of_group(table: pa.Table) -> pa.RecordBatch:
-        row, value = sets_of(table["text"].combine_chunks(), width)
+        row, value = measure.sets(table["text"].combine_chunks())
         n = np.bincount(row, minlength=len(table))
         asked = table["digest"].to_pylist()
         first = {d: r for r, (d, x) in reversed(list(enumerate(zip(asked, set_digests(n, value), strict=True)))) if d == x}
@@ -262,7 +291,7 @@ def _verifier(threshold: float, width: int, least: list[int]) -> Callable[[Itera
         place[left] = np.arange(len(left))
         place[right] = np.arange(len(right))
         asked_for = np.zeros((len(left), len(right)), bool)
-        for a, b in _left(table, keys, threshold, least):
+        for a, b in _left(table, keys, measure):
             if i == j:
                 asked_for[place[a], place[b]] = asked_for[place[b], place[a]] = True
             else:
@@ -271,7 +300,7 @@ def _verifier(threshold: float, width: int, least: list[int]) -> Callable[[Itera
         in_a, in_b = np.isin(row, left), np.isin(row, right)
         shared = shared_counts((place[row[in_a]], value[in_a]), len(left), (place[row[in_b]], value[in_b]), len(right))
         either = n[left][:, None] + n[right][None, :] - shared
-        linked = asked_for & (shared >= threshold * either - 1e-6)
+        linked = asked_for & (shared >= measure.threshold * either - 1e-6)
         links = np.zeros(len(table), np.int64)
         links[left] += linked @ copies[right]
         if i != j:
@@ -313,46 +342,46 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat an id each have a row and are linked if their texts are alike. Rows with a null id take part; they are named by their group's smallest
     id, or null. Very long texts count whole. An empty table gives an empty result. Extra columns are ignored.
     """
-    return grouped(docs, id_col, text_col, threshold, width, tolerance).drop("text_key", "root")
+    return grouped(docs, id_col, text_col, of_shingles(threshold, width, tolerance)).drop("text_key", "root")
 
 
-def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, width: int = 5, tolerance: float = 1e-5) -> DataFrame:
-    """:func:`jaccard_join` with two more columns: ``text_key``, which with ``mark`` tells rows of one id and different texts apart, and ``root``, a name of the group that no other group has (null without links)."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", measure: Measure | None = None) -> DataFrame:
+    """:func:`jaccard_join` by any measure, with two more columns: ``text_key``, which with ``mark`` tells rows of one id and different texts apart, and ``root``, a name of the group that no other group has (null without links)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    least, parts = least_matches(threshold, tolerance), max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sketched = written(sketches(docs, id_col, text_col, width), "jaccard")
+    measure, parts = measure or of_shingles(), max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Numbers, once written, stay.
+    sketched = written(sketches(docs, id_col, text_col, measure).withColumn("row", F.monotonically_increasing_id()), "jaccard")
     total = sketched.count()
-    # Numbers, once written, stay. All aggregates are of numbers, so that nothing is sorted for them.
-    of_set = sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_of"), F.min("text_key").alias("text_key"), F.count("*").alias("copies"), F.min("n").alias("n"), *[F.max(w).alias(w) for w in WORDS])
+    # All aggregates are of numbers, so that nothing is sorted for them.
+    of_set = sketched.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_of"), F.min("text_key").alias("text_key"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("row").alias("row"), *[F.max(c).alias(c) for c in measure.columns])
     classes = written(of_set.withColumn("cid", F.monotonically_increasing_id()), "jaccard")
     rows = sketched.select("mark", "text_key", "id", "digest")
-    spread = classes.filter("n > 0").select("cid", "n", F.posexplode(F.array(*WORDS)).alias("band", "word"))
-    spread = spread.withColumn("word", F.xxhash64("band", "word"))
+    spread = measure.spread(sketched, classes).withColumn("word", F.xxhash64("band", "word"))
     shared = spread.groupBy("word").agg(F.count("*").alias("size"), F.sum("n").alias("all_n")).filter("size > 1")
     met = lookup(spread.drop("n"), written(shared, "jaccard"), "word", "size", max(1, BANDS * classes.count())).filter("size IS NOT NULL")
-    met = met.join(classes.select("cid", "n", *WORDS), "cid")
+    met = met.join(classes.select("cid", "n", *measure.columns), "cid")
     met = _dealt(met, F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all_n") / CLUSTER_SHINGLES)), "cid")
     met = met.repartition(parts, *PLACE).sortWithinPartitions(*PLACE)
-    near = written(met.mapInArrow(tidy(_pruner(threshold, least)), MET), "jaccard")
+    near = written(met.mapInArrow(tidy(_pruner(measure)), MET), "jaccard")
     clusters = written(components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")).distinct()), "jaccard")
     light = classes.select(F.col("cid").alias("node"), "n")
     of_cluster = clusters.join(light, "node").groupBy("root").agg(F.count("*").alias("members"), F.sum("n").alias("all_n"))
     places = near.select(F.col("cid").alias("node")).join(clusters, "node").groupBy("root").agg(F.count("*").alias("places"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("all_n") / CLUSTER_SHINGLES))
-    of_cluster = written(of_cluster.join(places, "root").withColumn("blocks", blocks).withColumn("whole", F.col("members") * F.col("blocks") <= F.col("places")), "jaccard")
+    of_cluster = written(of_cluster.join(places, "root").withColumn("blocks", blocks).withColumn("whole", ~F.lit(measure.once) | (F.col("members") * F.col("blocks") <= F.col("places"))), "jaccard")
     member = lookup(clusters, of_cluster, "root", "members", max(1, clusters.count()))
     member = written(member.select(F.col("node").alias("cid"), "root", "blocks", "whole"), "jaccard")
     whole = _dealt(member.filter("whole").drop("whole"), F.col("blocks"), "cid").select("cid", F.xxhash64("root").alias("gkey"), F.lit(-1).alias("band"), "i", "j", "block")
     by_bucket = near.join(member.filter("NOT whole").select("cid"), "cid").select("cid", F.col("word").alias("gkey"), "band", "i", "j", "block")
-    places = whole.unionByName(by_bucket).join(classes.select("cid", "text_key", "digest", "copies", "n", *WORDS), "cid")
+    places = whole.unionByName(by_bucket).join(classes.select("cid", "text_key", "digest", "copies", "n", *measure.columns), "cid")
     places = written(places, "jaccard")
     wanted = small(places.select("text_key").distinct())
     texts = docs.select(F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).join(wanted, "text_key", "left_semi")
     once = texts.dropDuplicates(["text_key", "text"]) if _repeats(rows) else texts
     texts = once.join(small(places), "text_key")
     texts = texts.repartition(parts, "gkey", "band", "i", "j").sortWithinPartitions("gkey", "band", "i", "j")
-    checked = written(texts.mapInArrow(tidy(_verifier(threshold, width, least)), "cid long, links long, root long"), "jaccard")
+    checked = written(texts.mapInArrow(tidy(_verifier(measure)), "cid long, links long, root long"), "jaccard")
     links = checked.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     linked = roots.withColumnRenamed("node", "cid").join(links, "cid").join(classes.select("cid", "copy_of"), "cid")
@@ -367,14 +396,14 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     return out.select("mark", "text_key", "id", F.coalesce("copy_of", "id").alias("copy_of"), F.coalesce("class_id", "id").alias("class_id"), n_links.cast("long").alias("n_links"), "root")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", measure: Measure | None = None) -> DataFrame:
     """``docs``, with all its columns, with one row of every group that links connect: the one with the smallest id (of several with it, or without any, the one with the smallest hash of its text).
 
     Rows are told apart by id and text, so an id that repeats with other texts takes none of them along. Rows without links stay, and so do null and
     empty texts; of rows that repeat another whole one stays, if they have words. Very long texts count whole; an empty table stays one.
     """
     own = ["mark", "text_key"]
-    linked = written(grouped(docs, id_col, text_col, **options).filter("n_links > 0").select(*own, "id", "root"), "jaccard")
+    linked = written(grouped(docs, id_col, text_col, measure).filter("n_links > 0").select(*own, "id", "root"), "jaccard")
     total = max(1, linked.count())
     first = written(linked.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("members")), "jaccard")
     led = lookup(linked, first, "root", "members", total).filter("id <=> least")
