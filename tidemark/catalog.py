@@ -452,18 +452,10 @@ def summary_counts(spark, sf_dir):
     return standins.union_all([sinks.row_count(df).withColumn("name", F.lit(name)) for name, df in parts.items()])
 
 
-def _store(spark: SparkSession) -> str:
-    """A new folder in the store that the session names for checkpoints, or in the warehouse."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/sinks-{uuid.uuid4().hex}"
-
-
 @query("SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y') AS period FROM orders WHERE NOT (strftime(o_orderdate, '%Y') = '1996' AND o_orderstatus <> 'F')")
 def partition_overwrite_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy").alias("period"))
-    path = _store(spark)
+    path = standins.store(spark)
     sinks.write_periods(orders, path)
     sinks.write_periods(orders.filter("period = '1996' AND o_orderstatus = 'F'"), path)
     return spark.read.schema(orders.schema).parquet(path)
@@ -485,6 +477,6 @@ def parametrised_sql(spark, sf_dir):
 
 @query(f"WITH {NAV} SELECT scheme_code, count(*) AS days, max(nav) AS top FROM nav GROUP BY 1")
 def swap_snapshot(spark, sf_dir):
-    sinks.swap_in(nav(spark, sf_dir), _store(spark), "nav_snapshot")
+    sinks.swap_in(nav(spark, sf_dir), standins.store(spark), "nav_snapshot")
     return spark.sql("SELECT scheme_code, count(*) AS days, max(nav) AS top FROM nav_snapshot GROUP BY scheme_code")
 
