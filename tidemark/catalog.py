@@ -441,8 +441,7 @@ def year_chunks(spark, sf_dir):
 
 @query(f"WITH {NAV} SELECT max(nav_date) AS newest, CAST(DATE '2001-08-10' - max(nav_date) AS INTEGER) AS days_old, CAST(epoch(max(nav_date)) AS BIGINT) AS newest_epoch, count(DISTINCT scheme_code) AS schemes FROM nav")
 def freshness_lag(spark, sf_dir):
-    newest = nav(spark, sf_dir).agg(F.max("nav_date").alias("newest"), F.count_distinct("scheme_code").alias("schemes"))
-    return newest.select("newest", F.datediff(F.lit(date(2001, 8, 10)), "newest").alias("days_old"), dates.epoch_seconds(F.col("newest")).alias("newest_epoch"), "schemes")
+    return rules.freshness(nav(spark, sf_dir), date(2001, 8, 10))
 
 
 @query(f"WITH {METRICS_SQL}, {JUMPS} SELECT 'metrics' AS name, count(*) AS rows FROM metrics UNION ALL SELECT 'latest', count(*) FROM metrics WHERE is_latest UNION ALL SELECT 'jumps', count(*) FROM jumps")

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import epoch_seconds
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -81,6 +83,12 @@ def ratio_gate(ratio: float, most: float = 0.02) -> float:
     return ratio
 
 
+def freshness(df: DataFrame, today: date, key: str = "scheme_code", day: str = "nav_date") -> DataFrame:
+    """One row: the newest day, how many days it lies back, its epoch seconds, and how many keys there are."""
+    newest = df.agg(F.max(day).alias("newest"), F.count_distinct(key).alias("schemes"))
+    return newest.select("newest", F.datediff(F.lit(today), "newest").alias("days_old"), epoch_seconds(F.col("newest")).alias("newest_epoch"), "schemes")
+
+
 def freshness_gate(newest: date | None, today: date, most_days: int = 5) -> None:
     if newest is None or (today - newest).days > most_days:
         raise GateError(f"the newest row is of {newest}; on {today} it may be {most_days} days old")
