@@ -15,6 +15,7 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -128,6 +129,35 @@ class ShardReader:
         return self.tokens(self.directory["first"][row].as_py(), self.directory["n"][row].as_py())
 
 
+@dataclass
+class Pieces:
+    """Pieces of a batch: where each begins in ``points`` and how many characters it has, its hash, and ``packed``: the characters themselves
+    in 64 bits if they are at most eight of code points 1 to 255, else 0."""
+
+    points: np.ndarray
+    starts: np.ndarray
+    wide: np.ndarray
+    hashes: np.ndarray
+    packed: np.ndarray
+
+
+def packed_characters(points: np.ndarray, starts: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    raw = np.zeros(len(points) + 8, np.uint8)
+    raw[:-8] = points
+    eight = np.ndarray((len(points),), np.uint64, raw, strides=(1,))  # the eight bytes from every byte on
+    odd = running(((points > 255) | (points == 0)).astype(np.int32))
+    told = (wide <= 8) & (odd[starts + wide] == odd[starts])
+    rest = (np.uint64(8) * (8 - np.minimum(wide, 8)).astype(np.uint64)) & np.uint64(63)
+    return np.where(told, (eight[starts] << rest) >> rest, np.uint64(0))
+
+
+def alike(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which stretches of n characters (one at least) are the same."""
+    if not len(n):
+        return np.zeros(0, bool)
+    return np.logical_and.reduceat(a[ragged(at_a, n)] == b[ragged(at_b, n)], running(n.astype(np.int64))[:-1])
+
+
 class PieceEncoder:
     """The tokenizer's ids of whole texts, by way of a bounded store of the ids of pieces.
 
@@ -137,7 +167,7 @@ class PieceEncoder:
     Added tokens that a text spells out get their ids, as in the library: the text is cut there before it is cut into pieces.
     """
 
-    SLOTS, PROBES, STORE, UNASKED = 1 << 20, 8, 1 << 22, 9
+    SLOTS, PROBES, STORE, UNASKED = 1 << 19, 8, 1 << 21, 9
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -170,7 +200,8 @@ class PieceEncoder:
         self.store = np.zeros(self.STORE + (1 << 20), self.dtype)
         self.begin = np.zeros(self.SLOTS, np.uint32)
         self.length = np.zeros(self.SLOTS, np.int32)
-        self.known = np.zeros(1 << 22, np.uint32)
+        self.packed = np.zeros(self.SLOTS, np.uint64)
+        self.known = np.zeros(1 << 20, np.uint32)
         self.used = self.filled = self.seen = 0
 
     def _classes(self, points: np.ndarray) -> np.ndarray:
@@ -214,45 +245,42 @@ class PieceEncoder:
             begin[one[which] + 1 + take] = True
         return np.flatnonzero(begin[:n])
 
-    @staticmethod
-    def _same(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Which stretches of n characters (one at least) are alike."""
-        if not len(n):
-            return np.zeros(0, bool)
-        return np.logical_and.reduceat(a[ragged(at_a, n)] == b[ragged(at_b, n)], running(n.astype(np.int64))[:-1])
-
-    def _probe(self, hashes: np.ndarray, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _probe(self, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
         """Where each piece's ids are in the store, and how many; -1 for pieces that it lacks."""
-        found = np.full(len(hashes), -1, np.int64)
-        slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
-        left = np.arange(len(hashes))
+        found = np.full(len(p.hashes), -1, np.int64)
+        slot = (p.hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
+        left = np.arange(len(p.hashes))
         for _ in range(self.PROBES):
             got = self.keys[slot]
-            hit = got == hashes[left]
+            hit = got == p.hashes[left]
             found[left[hit]] = slot[hit]
             on = ~hit & (got != 0)
             left, slot = left[on], (slot[on] + 1) % self.SLOTS
         hit = np.flatnonzero(found >= 0)
-        hit = hit[self.length[found[hit]] == lengths[hit]]
-        hit = hit[self._same(points, starts[hit], self.known, self.begin[found[hit]].astype(np.int64), lengths[hit])]
-        place, size = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        place[hit], size[hit] = self.place[found[hit]], self.size[found[hit]]
+        at = found[hit]
+        same = (self.length[at] == p.wide[hit]) & (self.packed[at] == p.packed[hit])
+        long = np.flatnonzero(same & (p.packed[hit] == 0))
+        same[long] = alike(p.points, p.starts[hit[long]], self.known, self.begin[at[long]].astype(np.int64), p.wide[hit[long]])
+        place, size = np.full(len(p.hashes), -1, np.int64), np.zeros(len(p.hashes), np.int64)
+        place[hit[same]], size[hit[same]] = self.place[at[same]], self.size[at[same]]
         return place, size
 
-    def _insert(self, hashes: np.ndarray, place: np.ndarray, size: np.ndarray, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-        begin = self.seen + running(lengths.astype(np.int64))
+    def _insert(self, p: Pieces, which: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
+        kept = np.where(p.packed[which] == 0, p.wide[which], 0)  # characters of pieces that packed doesn't tell
+        begin = self.seen + running(kept)
         while begin[-1] > len(self.known):
             self.known = np.append(self.known, np.zeros(len(self.known), np.uint32))
-        self.known[self.seen : begin[-1]] = points[ragged(starts, lengths)]
+        self.known[self.seen : begin[-1]] = p.points[ragged(p.starts[which], kept)]
         self.seen = int(begin[-1])
-        slot = (hashes >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
-        left = np.arange(len(hashes))
+        slot = (p.hashes[which] >> np.uint64(65 - self.SLOTS.bit_length())).astype(np.int64)
+        left = np.arange(len(which))
         for _ in range(self.PROBES):
             free = np.flatnonzero(self.keys[slot] == 0)
-            mine, which = np.unique(slot[free], return_index=True)
-            put = free[which]
-            self.keys[mine], self.place[mine], self.size[mine] = hashes[left[put]], place[left[put]], size[left[put]]
-            self.begin[mine], self.length[mine] = begin[:-1][left[put]], lengths[left[put]]
+            mine, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            of = which[left[put]]
+            self.keys[mine], self.place[mine], self.size[mine] = p.hashes[of], place[left[put]], size[left[put]]
+            self.begin[mine], self.length[mine], self.packed[mine] = begin[:-1][left[put]], p.wide[of], p.packed[of]
             self.filled += len(put)
             on = np.ones(len(left), bool)
             on[put] = False
@@ -289,13 +317,15 @@ class PieceEncoder:
         sums = running(self.values[points] * up[: len(points)])
         hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)) | np.uint64(1)
         wide = ends - starts
-        place, size = self._probe(hashes, points, starts, wide)
+        p = Pieces(points, starts, wide, hashes, packed_characters(points, starts, wide) if len(points) else np.zeros(0, np.uint64))
+        place, size = self._probe(p)
         miss = np.flatnonzero(place < 0)
         if len(miss):
             _, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
             lead = first[back]
-            same = wide[miss] == wide[miss[lead]]
-            same[same] = self._same(points, starts[miss[same]], points, starts[miss[lead[same]]], wide[miss[same]])
+            same = (wide[miss] == wide[miss[lead]]) & (p.packed[miss] == p.packed[miss[lead]])
+            long = np.flatnonzero(same & (p.packed[miss] == 0))
+            same[long] = alike(points, starts[miss[long]], points, starts[miss[lead[long]]], wide[miss[long]])
             lead[~same] = np.flatnonzero(~same)  # another piece with an equal hash stands for itself
             first, back = np.unique(lead, return_inverse=True)
             a, b = starts[miss[first]].tolist(), ends[miss[first]].tolist()
@@ -306,7 +336,7 @@ class PieceEncoder:
                 self.store = np.append(self.store, np.zeros(len(self.store), self.dtype))
             self.store[self.used : at[-1]] = np.fromiter((i for x in got for i in x), self.dtype, int(lengths.sum()))
             self.used = int(at[-1])
-            self._insert(hashes[miss[first]], at[:-1], lengths, points, starts[miss[first]], wide[miss[first]])
+            self._insert(p, miss[first], at[:-1], lengths)
             place[miss], size[miss] = at[:-1][back], lengths[back]
         ids = self.store[ragged(place, size)]
         of_piece = running(size)
